@@ -1,0 +1 @@
+"""Nothing here: every input of the payments ledger is read in batch (late data is handled by ``operators.ledger.late_headers``)."""
