@@ -75,13 +75,13 @@ def whole_items(t: Tables) -> DataFrame:
 
 
 def whole_ledger(t: Tables) -> DataFrame:
-    return transaction.ledger(t, WHOLE, settled_only=False)
+    return transaction.ledger(t, WHOLE, all_states=True)
 
 
 def raw_transfers(t: Tables) -> DataFrame:
     headers = ledger.header_slice(t["txn_header"], WHOLE.ledger_start, WHOLE.end)
     people = parties.with_domain(parties.resolve_parties(t, "party"), t["category"])
-    return ledger.assemble_ledger(headers, ledger.main_pairs(whole_items(t), t), people, t)
+    return ledger.assemble_ledger(ledger.open_transfers(headers, whole_items(t), t), people, t)
 
 
 # ---------------------------------------------------------------- sources and layouts

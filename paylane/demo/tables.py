@@ -191,7 +191,7 @@ class DemoTables(Mapping):
             raise KeyError(name)
         if name not in self._built:
             text = with_clause(f"select * from {name}", self._views, "spark")
-            self._built[name] = conform(self._spark.sql(text), name)
+            self._built[name] = conform(self._spark.sql(text), name, empty_text=False)
         return self._built[name]
 
     def __iter__(self):

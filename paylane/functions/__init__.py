@@ -16,6 +16,7 @@ from .rules import (
     cash_flag,
     changed_in_window,
     gender_letter,
+    is_settled,
     party_type,
     reclassify,
     settled_flag,

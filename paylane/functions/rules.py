@@ -16,10 +16,14 @@ VOLUME_THRESHOLD = 200_000
 VOLUME_THRESHOLD_BY_NETWORK = {"GC": 2_500_000}
 
 
-def settled_flag(status: Column, reconciled_by: Column, service: Column, attr_name: Column, attr_value: Column) -> Column:
-    """``Y`` for a settled, a reconciled or a failed-at-source recharge transfer, else ``N``."""
+def is_settled(status: Column, reconciled_by: Column, service: Column, attr_name: Column, attr_value: Column) -> Column:
+    """A settled, a reconciled or a failed-at-source recharge transfer. Usable as a filter; never true for unknowns."""
     failed_at_source = (service == "RC") & (attr_name == "FAILED_AT_IN") & (attr_value == "Y")
-    return F.when((status == "TS") | reconciled_by.isNotNull() | failed_at_source, "Y").otherwise("N")
+    return (status == "TS") | reconciled_by.isNotNull() | failed_at_source
+
+
+def settled_flag(status: Column, reconciled_by: Column, service: Column, attr_name: Column, attr_value: Column) -> Column:
+    return F.when(is_settled(status, reconciled_by, service, attr_name, attr_value), "Y").otherwise("N")
 
 
 def cash_flag(tag: Column) -> Column:

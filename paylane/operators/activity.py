@@ -11,7 +11,7 @@ from ..functions import volume_class
 from ..functions.dates import moment
 from ..functions.rules import volume_threshold
 from ..params import RunParams
-from .ledger import assemble_ledger, header_slice, in_run, items_of, late_headers, main_pairs
+from .ledger import assemble_ledger, header_slice, in_run, items_of, late_headers, open_transfers
 from .lookups import scalar
 from .parties import resolve_parties, with_domain
 
@@ -20,9 +20,9 @@ def activity_ledger(t: dict[str, DataFrame], p: RunParams) -> DataFrame:
     """The window's transfers together with the late-changed ones and their pairs."""
     late = late_headers(t["txn_header"], p.start, p.end)
     headers = header_slice(t["txn_header"], p.ledger_start, p.end).unionByName(late)
-    in_time = main_pairs(in_run(t["txn_item"], p.ledger_start, p.end), t)
-    pairs = in_time.unionByName(main_pairs(items_of(t["txn_item"], late), t))
-    return assemble_ledger(headers, pairs, with_domain(resolve_parties(t, "party"), t["category"]), t)
+    in_time = open_transfers(headers, in_run(t["txn_item"], p.ledger_start, p.end), t)
+    after = open_transfers(headers, items_of(t["txn_item"], late), t)
+    return assemble_ledger(in_time.unionByName(after), with_domain(resolve_parties(t, "party"), t["category"]), t)
 
 
 def activity_profile(ledger: DataFrame, network: DataFrame, end: datetime, days: int) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import moment
 from .ledger import in_run, items_of, late_headers
+from .skew import LOT, distinct_apart, with_lot
 
 # Categories that count as customers.
 CUSTOMER_CATEGORIES = ("CHUSER", "SUBS")
@@ -25,7 +26,8 @@ def active_items(t: dict[str, DataFrame], start: datetime, end: datetime) -> Dat
 
 
 def active_users(t: dict[str, DataFrame], start: datetime, end: datetime) -> DataFrame:
-    return active_items(t, start, end).select(F.col("party_id").alias("user_id"), F.col("account_id").alias("msisdn")).distinct()
+    items = active_items(t, start, end).select(F.col("party_id").alias("user_id"), F.col("account_id").alias("msisdn"))
+    return distinct_apart(items, "user_id", "msisdn")
 
 
 def _comparable() -> Column:
@@ -34,7 +36,7 @@ def _comparable() -> Column:
 
 def split_activity(events: DataFrame, at: Column, start: datetime) -> DataFrame:
     """Per user and phone, whether there is activity from ``start`` on and before it."""
-    return events.groupBy("user_id", "msisdn").agg(
+    return with_lot(events, "user_id", "msisdn").groupBy("user_id", "msisdn", LOT).agg(
         F.bool_or(at >= moment(start)).alias("in_window"), F.bool_or(at < moment(start)).alias("before")
     )
 

@@ -11,10 +11,11 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import in_window, party_type, reclassify, scale, settled_flag
+from ..functions import in_window, is_settled, party_type, reclassify, scale, settled_flag
 from ..functions.dates import moment
 from ..functions.rules import CORRECTION_SERVICES, FEE_PARTY
 from .lookups import currency_factor
+from .skew import LOT, with_lot
 
 # Receiver leg type -> payer leg type, for main, commission and service-charge legs.
 LEG_PAIRS = {"MR": "MP", "CR": "CP", "SCR": "SCP"}
@@ -48,9 +49,15 @@ def late_headers(headers: DataFrame, start: datetime, end: datetime) -> DataFram
     return late.withColumn("as_of_date", F.date_trunc("DAY", F.col("modified_on")).cast("timestamp_ntz"))
 
 
+SETTLING = ("transfer_status", "reconciliation_by", "service_type", "attr_2_name", "attr_2_value")
+
+
 def with_settled(headers: DataFrame) -> DataFrame:
-    flag = settled_flag(*[F.col(c) for c in ("transfer_status", "reconciliation_by", "service_type", "attr_2_name", "attr_2_value")])
-    return headers.withColumn("settled", flag)
+    return headers.withColumn("settled", settled_flag(*[F.col(c) for c in SETTLING]))
+
+
+def settled_only(headers: DataFrame) -> DataFrame:
+    return headers.where(is_settled(*[F.col(c) for c in SETTLING]))
 
 
 def in_run(items: DataFrame, start: datetime, end: datetime) -> DataFrame:
@@ -113,44 +120,41 @@ def charge_totals(items: DataFrame, factor: Column) -> DataFrame:
     """Total service charge per transfer, over all its pairs.
 
     Legs are counted per pairing key before they meet, and each pair of counts contributes value x count x count. So the
-    pairs are never listed, and a transfer with many equal legs is a handful of rows.
+    pairs are never listed, and a transfer with many equal legs is a handful of rows. The totals are keyed by transfer and lot.
     """
     kinds = ("MR", "SCR")
     charged = receiver_legs(items, kinds).where(is_charge()).groupBy(*PAIR_KEY).agg(F.count(F.lit(1)).alias("n_receiver"))
     paid = payer_legs(items, kinds).groupBy(*PAIR_KEY).agg(F.count(F.lit(1)).alias("n_payer"))
     total = F.sum(F.col("transfer_value") * F.col("n_receiver") * F.col("n_payer"))
     return (
-        charged.join(paid, list(PAIR_KEY))
-        .groupBy("transfer_id")
+        with_lot(charged.join(paid, list(PAIR_KEY)), "transfer_id")
+        .groupBy("transfer_id", LOT)
         .agg(total.alias("_minor"))
-        .select("transfer_id", (F.col("_minor") / factor).alias("total_charge"))
+        .select("transfer_id", LOT, (F.col("_minor") / factor).alias("total_charge"))
     )
 
 
 def total_charge(pairs: DataFrame, items: DataFrame, factor: Column) -> DataFrame:
     """Pairs with the transfer's total charge on each, zero where nothing was charged."""
-    joined = pairs.join(charge_totals(items, factor), "transfer_id", "left")
+    joined = pairs.join(charge_totals(items, factor).drop(LOT), "transfer_id", "left")
     return joined.withColumn("total_charge", F.coalesce("total_charge", F.lit(0)))
 
 
-def main_pairs(items: DataFrame, t: dict[str, DataFrame]) -> DataFrame:
-    """Main pairs that are still main after reclassification, with the total charge of their transfer.
-
-    Commission and charge pairs are never part of a ledger, so they are not built; charges enter as totals, and those
-    are taken over all legs, not over what the reclassification leaves.
-    """
+def main_pairs(items: DataFrame) -> DataFrame:
+    """Main pairs that are still main after reclassification."""
     kept = reclassify(F.col("kind"), F.col("receiver_service_type"), F.col("receiver_user_id"), F.col("sender_user_id"))
-    pairs = pair_legs(items, ("MR",)).where(kept == "MR")
-    return total_charge(pairs, items, currency_factor(t))
+    return pair_legs(items, ("MR",)).where(kept == "MR")
 
 
-def assemble_ledger(headers: DataFrame, pairs: DataFrame, parties: DataFrame, t: dict[str, DataFrame]) -> DataFrame:
-    """Financial or charged transfers of the headers with what is known of sender and receiver.
+def open_transfers(headers: DataFrame, items: DataFrame, t: dict[str, DataFrame]) -> DataFrame:
+    """Main pairs of the headers, where the service is financial or the transfer was charged.
 
-    Header and charge joins share the partitioning by transfer; the two party joins read one shuffled copy of the parties.
+    Commission and charge pairs are never part of a ledger, so they are not built. Charges enter as totals over all legs
+    (not over what reclassification leaves) and join the headers, one row each; only then do the pairs join, once.
     """
-    head = with_settled(headers).select(
+    head = with_lot(with_settled(headers), "transfer_id").select(
         "transfer_id",
+        LOT,
         "transfer_date",
         "as_of_date",
         "created_on",
@@ -160,20 +164,34 @@ def assemble_ledger(headers: DataFrame, pairs: DataFrame, parties: DataFrame, t:
         "attr_2_value",
         "settled",
     )
+    charged = head.join(charge_totals(items, currency_factor(t)), ["transfer_id", LOT], "left").drop(LOT)
+    charged = charged.withColumn("total_charge", F.coalesce("total_charge", F.lit(0)))
     services = t["service_type"].select("service_type", "is_financial")
     wanted = (F.col("is_financial") == "Y") | (F.col("total_charge") > 0)
-    ledger = head.join(pairs, "transfer_id").join(services, "service_type").where(wanted)
+    return charged.join(main_pairs(items), "transfer_id").join(services, "service_type").where(wanted)
+
+
+# What a ledger knows of the party behind each wallet.
+PARTY_FACTS = {
+    "user_type": "known_type",
+    "designation": "designation",
+    "state": "state",
+    "domain_code": "domain",
+    "network_code": "network",
+}
+
+
+def assemble_ledger(transfers: DataFrame, parties: DataFrame, t: dict[str, DataFrame]) -> DataFrame:
+    """Transfers with what is known of sender and receiver, amounts in currency units.
+
+    Both party joins take the parties under the same names and rename afterwards, so they share one shuffled copy.
+    """
+    ledger = transfers
+    known = parties.select(F.col("wallet_number").alias("_wallet"), *[F.col(c).alias(f"_{c}") for c in PARTY_FACTS])
     for side in ("sender", "receiver"):
-        wallet = F.col(f"{side}_wallet")
-        known = parties.select(
-            F.col("wallet_number").alias("_wallet"),
-            F.col("user_type").alias(f"{side}_known_type"),
-            F.col("designation").alias(f"{side}_designation"),
-            F.col("state").alias(f"{side}_state"),
-            F.col("domain_code").alias(f"{side}_domain"),
-            F.col("network_code").alias(f"{side}_network"),
-        )
-        ledger = ledger.join(known, wallet == F.col("_wallet"), "left").drop("_wallet")
+        joined = ledger.join(known, F.col(f"{side}_wallet") == F.col("_wallet"), "left")
+        facts = [F.col(f"_{c}").alias(f"{side}_{new}") for c, new in PARTY_FACTS.items()]
+        ledger = joined.select(*[F.col(c) for c in ledger.columns], *facts)
     factor = currency_factor(t)
     return ledger.withColumns(
         {
@@ -214,7 +232,7 @@ def moved_money(items: DataFrame, headers: DataFrame) -> DataFrame:
 
     Existence is all that counts, so both directions are semi-joins: copies of legs never multiply.
     """
-    settled = with_settled(headers).where(F.col("settled") == "Y").select("transfer_id")
+    settled = settled_only(headers).select("transfer_id")
     receivers = receiver_legs(items, ("MR",)).join(settled, "transfer_id", "left_semi")
     payers = payer_legs(items, ("MR",))
     received = receivers.join(payers, list(PAIR_KEY), "left_semi").select(F.col("receiver_wallet").alias("wallet_number"))

@@ -18,7 +18,7 @@ from ..functions import (
 )
 from ..operators.geography import account_currency, contra_currency, derive_geography, display_currency, with_mapped_currency
 from ..operators.layout import Field, blanks, fixed_width, quoted_pipe, reserved
-from ..operators.ledger import assemble_ledger, header_slice, in_run, main_pairs, two_sided, with_settled
+from ..operators.ledger import assemble_ledger, header_slice, in_run, open_transfers, settled_only, two_sided
 from ..operators.lookups import lookup
 from ..operators.parties import OUTPUT_TYPES, maybe_key, resolve_parties, with_domain
 from ..operators.tags import match_rules
@@ -30,14 +30,17 @@ ORDER = ["customer", "business_type", "account_no", "business_no", "currency", "
 NO_ACCOUNT, NO_PHONE = "XXXX", "XXXXXXXX"
 
 
-def ledger(t: dict[str, DataFrame], p: RunParams, settled_only: bool = True) -> DataFrame:
-    """The window's transfers with geography and tag; both transaction extracts start from it."""
+def ledger(t: dict[str, DataFrame], p: RunParams, all_states: bool = False) -> DataFrame:
+    """The window's transfers with geography and tag; both transaction extracts start from it.
+
+    They report settled transfers alone, so the others are left out at the header scan.
+    """
     headers = header_slice(t["txn_header"], p.ledger_start, p.end)
-    if settled_only:
-        headers = with_settled(headers).where(F.col("settled") == "Y").drop("settled")
-    pairs = main_pairs(in_run(t["txn_item"], p.ledger_start, p.end), t)
+    if not all_states:
+        headers = settled_only(headers)
+    transfers = open_transfers(headers, in_run(t["txn_item"], p.ledger_start, p.end), t)
     parties = with_domain(resolve_parties(t, "party"), t["category"])
-    return match_rules(derive_geography(assemble_ledger(headers, pairs, parties, t), t), t["tag_rule"])
+    return match_rules(derive_geography(assemble_ledger(transfers, parties, t), t), t["tag_rule"])
 
 
 def reported_sides(base: DataFrame, p: RunParams) -> DataFrame:

@@ -6,7 +6,9 @@ A source config names two routes, since the account extracts may read from a sec
      "accounts": {"format": "jdbc", "options": {"url": ..., "driver": ...},
                   "tables": {"wallet": {"partitionColumn": ..., "numPartitions": ...}}}}
 
-A missing ``accounts`` route means the main one.
+A missing ``accounts`` route means the main one. Empty text is read as missing. A source that cannot hold empty text (any
+copy of a database that stores it as missing) should say so with ``"empty_text": False``: its columns are then used bare,
+so that tests on them reach the scan, and bucketing and runtime filters on keys apply.
 """
 
 from __future__ import annotations
@@ -39,14 +41,15 @@ PHYSICAL_NAMES = {
     "replica_stat": "v$dataguard_stats",
 }
 
-# Columns used per table. A bare name is text; ":t" a timestamp, ":n" a decimal, ":i" an integer.
+# Columns used per table. A bare name is text; ":t" a timestamp, ":n" a decimal, ":i" an integer. ":c" is text
+# that is only ever tested for equality with a non-empty constant: empty or missing, it fails alike, so it is never wrapped.
 _COLUMNS = {
-    "txn_header": "transfer_id transfer_date:t created_on:t created_by modified_on:t transfer_subtype transfer_status"
-    " reconciliation_by service_type attr_2_name attr_2_value reference_number",
-    "txn_item": "transfer_id transfer_date:t transaction_type party_id second_party account_id wallet_number"
+    "txn_header": "transfer_id transfer_date:t created_on:t created_by modified_on:t transfer_subtype transfer_status:c"
+    " reconciliation_by service_type:c attr_2_name:c attr_2_value reference_number",
+    "txn_item": "transfer_id transfer_date:t transaction_type:c party_id second_party account_id wallet_number"
     " transfer_value:n requested_value:n previous_balance:n post_balance:n pseudo_user_id unreg_user_id txn_mode"
-    " service_type transfer_subtype transfer_status category_code",
-    "wallet": "wallet_number user_id user_type msisdn is_primary status created_on:t modified_on:t created_by"
+    " service_type transfer_subtype transfer_status:c category_code",
+    "wallet": "wallet_number user_id user_type msisdn is_primary:c status created_on:t modified_on:t created_by"
     " mpay_profile_id payment_type_id user_grade",
     "wallet_balance": "wallet_number wallet_sequence_number:i balance:n",
     "party": "user_id user_type msisdn user_name last_name address1 address2 city external_code residence_country"
@@ -55,33 +58,36 @@ _COLUMNS = {
     "channel_user": "user_id user_type msisdn user_name last_name address1 address2 city designation state dob:t"
     " created_on:t created_by level2_approved_on:t modified_approved_on:t agent_code gender status category_code"
     " network_code external_code bulk_id batch_id",
-    "category": "category_code category_name category_type domain_code sequence_no:i",
-    "category_relation": "from_category to_category relation_type status",
+    "category": "category_code category_name category_type:c domain_code sequence_no:i",
+    "category_relation": "from_category to_category relation_type:c status:c",
     "control_profile": "profile_id max_balance:n grade_code",
-    "grade": "grade_code grade_name status",
+    "grade": "grade_code grade_name status:c",
     "payment_subtype": "payment_type_id subtype_name",
-    "service_type": "service_type is_financial",
-    "system_preference": "preference_code default_value",
-    "country": "id:i country_iso description currency_iso status",
+    "service_type": "service_type is_financial:c",
+    "system_preference": "preference_code:c default_value",
+    "country": "id:i country_iso description currency_iso status:c",
     "id_type": "type_id idtype_label",
     "tag_rule": "tag_id:i tag_name transfer_subtype service_type sender_user_id sender_designation"
     " receiver_designation sender_domain_code receiver_domain_code sender_state receiver_state not_receiver_state"
     " reference_number2 source_txn_id",
-    "env_param": "param_key param_val_text",
+    "env_param": "param_key:c param_val_text",
     "network": "network_code",
     "receiver_kyc": "p2p_transfer_id agcout_transfer_id rec_fname rec_lname rec_dob:t rec_idno",
     "unreg_user": "unreg_user_id msisdn",
-    "replica_stat": "name value datum_time",
+    "replica_stat": "name:c value datum_time",
 }
-_TYPES = {"": "string", "t": "timestamp_ntz", "n": "decimal(38,6)", "i": "int"}
+_TYPES = {"": "string", "c": "string", "t": "timestamp_ntz", "n": "decimal(38,6)", "i": "int"}
 
 SCHEMAS = {
     table: {name: _TYPES[kind] for name, _, kind in (c.partition(":") for c in columns.split())}
     for table, columns in _COLUMNS.items()
 }
+_CODES = {
+    table: {c[:-2] for c in columns.split() if c.endswith(":c")} for table, columns in _COLUMNS.items()
+}
 
 
-def conform(df: DataFrame, table: str) -> DataFrame:
+def conform(df: DataFrame, table: str, empty_text: bool = True) -> DataFrame:
     """The table's columns in their types. Empty text becomes missing, absent columns too; decimals keep their scale."""
     present = {f.name.lower(): f for f in df.schema.fields}
     out = []
@@ -91,7 +97,8 @@ def conform(df: DataFrame, table: str) -> DataFrame:
             c = F.lit(None).cast(kind)
         elif kind == "string":
             c = F.col(field.name) if field.dataType.simpleString() == "string" else F.col(field.name).cast("string")
-            c = F.nullif(c, F.lit(""))
+            if empty_text and name not in _CODES[table]:
+                c = F.nullif(c, F.lit(""))
         elif kind.startswith("decimal") and field.dataType.simpleString().startswith("decimal"):
             c = F.col(field.name)
         else:
@@ -113,4 +120,5 @@ def _read(spark: SparkSession, table: str, route: dict) -> DataFrame:
 def load_tables(spark: SparkSession, config: dict, route: str = "main") -> dict[str, DataFrame]:
     """All source tables of one route, conformed. Nothing is read until an extract uses it."""
     source = config.get(route) or config["main"]
-    return {table: conform(_read(spark, table, source), table) for table in SCHEMAS}
+    empty_text = source.get("empty_text", True)
+    return {table: conform(_read(spark, table, source), table, empty_text) for table in SCHEMAS}
