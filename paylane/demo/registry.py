@@ -350,7 +350,7 @@ def j_lookup(t):
  union all select wallet_number, home, nation from ora_people where home is null and nation is null)""",
 )
 def j_valid_country(t):
-    x = parties.resolve_parties(t).select(
+    x = parties.with_identity(parties.resolve_parties(t), t["id_type"]).select(
         "wallet_number", F.col("home_country_code").alias("home"), F.col("nationality_code").alias("nation")
     )
     x = lookups.valid_country(x, t["country"], "home", "home_valid")
@@ -375,7 +375,7 @@ def j_params(t):
 
 @query("j_unique_lookup", "select wallet_number, idtype as identity_type from ora_people")
 def j_unique_lookup(t):
-    return parties.with_id_type(parties.resolve_parties(t), t["id_type"]).select("wallet_number", "identity_type")
+    return parties.with_identity(parties.resolve_parties(t), t["id_type"]).select("wallet_number", "identity_type")
 
 
 @query("j_unregistered", "select distinct unreg_user_id, msisdn, p2p_transfer_id as transfer_id, rec_fname, rec_lname, rec_idno, rec_dob from ora_unreg")
@@ -532,7 +532,7 @@ def x_first_field_one(t):
 
 @query("x_id_code", "select wallet_number, home, nation, id_no2 as id_number from ora_people")
 def x_id_code(t):
-    return parties.resolve_parties(t).select(
+    return parties.with_identity(parties.resolve_parties(t), t["id_type"]).select(
         "wallet_number", F.col("home_country_code").alias("home"), F.col("nationality_code").alias("nation"), "id_number"
     )
 
@@ -679,7 +679,7 @@ def t_party_type(t):
     "select wallet_number, case when idtype = 'PASSPORT' then id_no2 else ' ' end as passport, case when coalesce(idtype, '') <> 'PASSPORT' then id_no2 end as other from ora_people",
 )
 def t_identity(t):
-    x = parties.with_id_type(parties.resolve_parties(t), t["id_type"])
+    x = parties.with_identity(parties.resolve_parties(t), t["id_type"])
     passport, other = parties.route_identity(F.col("identity_type"), F.col("id_number"))
     return x.select("wallet_number", passport.alias("passport"), other.alias("other"))
 

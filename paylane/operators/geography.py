@@ -39,9 +39,10 @@ def derive_geography(ledger: DataFrame, t: dict[str, DataFrame]) -> DataFrame:
     designation of the side itself does.
     """
     mode = F.col("txn_mode")
-    x = with_params(ledger, t)
+    x = with_params(ledger, t).withColumns(
+        {f"_{side}_coded": last_two(F.col(f"{side}_designation")) for side in ("sender", "receiver")}
+    )
     for side in ("sender", "receiver"):
-        x = x.withColumn(f"_{side}_coded", last_two(F.col(f"{side}_designation")))
         x = lookup(x, t["country"], {f"_{side}_coded": "country_iso"}, {"currency_iso": f"_{side}_coded_currency"}, unique=True)
     out = {}
     for side, other, direction in (("sender", "receiver", INBOUND), ("receiver", "sender", OUTBOUND)):
@@ -62,7 +63,7 @@ def derive_geography(ledger: DataFrame, t: dict[str, DataFrame]) -> DataFrame:
             _by_designation(designation, direction, coded_currency, F.col("local_currency"))
         )
     helpers = [f"_{side}_{c}" for side in ("sender", "receiver") for c in ("coded", "coded_currency")]
-    return x.withColumns(out).drop(*helpers)
+    return x.select(F.expr(f"* except ({', '.join(helpers)})"), *[c.alias(name) for name, c in out.items()])
 
 
 def with_mapped_currency(ledger: DataFrame, country: DataFrame) -> DataFrame:

@@ -70,35 +70,31 @@ def items_of(items: DataFrame, headers: DataFrame) -> DataFrame:
 
 
 def receiver_legs(items: DataFrame, kinds: tuple[str, ...] = ALL_KINDS) -> DataFrame:
-    legs = items.where(F.col("transaction_type").isin(*kinds))
-    return legs.select(
-        F.col("transaction_type").alias("kind"),
+    return items.where(F.col("transaction_type").isin(*kinds)).selectExpr(
+        "transaction_type as kind",
         "transfer_id",
-        F.col("party_id").alias("receiver_user_id"),
-        F.col("second_party").alias("sender_user_id"),
+        "party_id as receiver_user_id",
+        "second_party as sender_user_id",
         "transfer_value",
-        F.col("service_type").alias("receiver_service_type"),
+        "service_type as receiver_service_type",
         "txn_mode",
-        *[F.col(c).alias(f"receiver_{new}") for c, new in SIDE_COLUMNS.items()],
+        *[f"{c} as receiver_{new}" for c, new in SIDE_COLUMNS.items()],
     )
 
 
 def payer_legs(items: DataFrame, kinds: tuple[str, ...] = ALL_KINDS) -> DataFrame:
-    legs = items.where(F.col("transaction_type").isin(*[LEG_PAIRS[k] for k in kinds]))
-    kind = None
-    for receiver, payer in LEG_PAIRS.items():
-        test = F.col("transaction_type") == payer
-        kind = F.when(test, receiver) if kind is None else kind.when(test, receiver)
-    return legs.select(
-        kind.alias("kind"),
+    """Payer legs under the kind of the receiver leg that they pair with."""
+    kind = " ".join(f"when '{LEG_PAIRS[k]}' then '{k}'" for k in kinds)
+    return items.where(F.col("transaction_type").isin(*[LEG_PAIRS[k] for k in kinds])).selectExpr(
+        f"case transaction_type {kind} end as kind",
         "transfer_id",
-        F.col("second_party").alias("receiver_user_id"),
-        F.col("party_id").alias("sender_user_id"),
+        "second_party as receiver_user_id",
+        "party_id as sender_user_id",
         "transfer_value",
         "service_type",
-        F.col("transfer_subtype").alias("item_subtype"),
+        "transfer_subtype as item_subtype",
         "requested_value",
-        *[F.col(c).alias(f"sender_{new}") for c, new in SIDE_COLUMNS.items()],
+        *[f"{c} as sender_{new}" for c, new in SIDE_COLUMNS.items()],
     )
 
 
@@ -187,11 +183,11 @@ def assemble_ledger(transfers: DataFrame, parties: DataFrame, t: dict[str, DataF
     Both party joins take the parties under the same names and rename afterwards, so they share one shuffled copy.
     """
     ledger = transfers
-    known = parties.select(F.col("wallet_number").alias("_wallet"), *[F.col(c).alias(f"_{c}") for c in PARTY_FACTS])
+    known = parties.selectExpr("wallet_number as _wallet", *[f"{c} as _{c}" for c in PARTY_FACTS])
     for side in ("sender", "receiver"):
-        joined = ledger.join(known, F.col(f"{side}_wallet") == F.col("_wallet"), "left")
-        facts = [F.col(f"_{c}").alias(f"{side}_{new}") for c, new in PARTY_FACTS.items()]
-        ledger = joined.select(*[F.col(c) for c in ledger.columns], *facts)
+        joined = ledger.join(known, F.expr(f"{side}_wallet = _wallet"), "left")
+        taken = ", ".join(["_wallet", *[f"_{c}" for c in PARTY_FACTS]])
+        ledger = joined.selectExpr(f"* except ({taken})", *[f"_{c} as {side}_{new}" for c, new in PARTY_FACTS.items()])
     factor = currency_factor(t)
     return ledger.withColumns(
         {
@@ -210,21 +206,19 @@ def assemble_ledger(transfers: DataFrame, parties: DataFrame, t: dict[str, DataF
 def two_sided(ledger: DataFrame) -> DataFrame:
     """Each transfer twice: as seen by the sender (``D``, amount negative) and by the receiver (``C``).
 
-    The sides are opened from one pass over the ledger, not by a union of two readings of it.
+    What is known of both sides turns into ``own_`` and ``contra_`` columns. The sides are opened from one pass over the
+    ledger, not by a union of two readings of it.
     """
-    names = [c.removeprefix("sender_") for c in ledger.columns if c.startswith("sender_")]
-    names = [n for n in names if f"receiver_{n}" in ledger.columns]
-
-    def seen(side: str, own: str, contra: str) -> Column:
-        return F.struct(
-            F.lit(side).alias("side"),
-            (F.col("amount") if side == "C" else -F.col("amount")).alias("signed_amount"),
-            *[F.col(f"{own}_{n}").alias(f"own_{n}") for n in names],
-            *[F.col(f"{contra}_{n}").alias(f"contra_{n}") for n in names],
-        )
-
-    sides = F.array(seen("D", "sender", "receiver"), seen("C", "receiver", "sender"))
-    return ledger.withColumn("_leg", F.explode(sides)).select("*", "_leg.*").drop("_leg")
+    columns = set(ledger.columns)
+    names = sorted(c.removeprefix("sender_") for c in columns if c.startswith("sender_"))
+    names = [n for n in names if f"receiver_{n}" in columns]
+
+    def seen(side: str, amount: str, own: str, contra: str) -> str:
+        swapped = [f"{who}_{n} as {role}_{n}" for role, who in (("own", own), ("contra", contra)) for n in names]
+        return f"struct('{side}' as side, {amount} as signed_amount, {', '.join(swapped)})"
+
+    sides = f"array({seen('D', '-amount', 'sender', 'receiver')}, {seen('C', 'amount', 'receiver', 'sender')})"
+    return ledger.withColumn("_leg", F.explode(F.expr(sides))).select("*", "_leg.*").drop("_leg")
 
 
 def moved_money(items: DataFrame, headers: DataFrame) -> DataFrame:

@@ -20,25 +20,20 @@ def lookup(df: DataFrame, dim: DataFrame, on: dict[str, str], cols: dict[str, st
 
     Duplicate keys multiply rows, as any join does; with ``unique`` a used duplicate is an error.
     """
-    keys = [F.col(k).alias(f"_key_{i}") for i, k in enumerate(on.values())]
+    keys = {f"_key_{i}": k for i, k in enumerate(on.values())}
+    values = {f"_value_{i}": c for i, c in enumerate(cols.values())}
     if unique:
-        right = dim.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("_n"), *[F.max(c).alias(f"_v_{new}") for c, new in cols.items()]
-        )
+        found = [F.max(c).alias(v) for v, c in zip(values, cols)]
+        right = dim.groupBy(*[F.col(k).alias(name) for name, k in keys.items()]).agg(F.count(F.lit(1)).alias("_n"), *found)
     else:
-        right = dim.select(*keys, *[F.col(c).alias(f"_v_{new}") for c, new in cols.items()])
-    test = None
-    for i, left_key in enumerate(on):
-        one = F.col(left_key) == F.col(f"_key_{i}")
-        test = one if test is None else test & one
-    joined = df.join(right, test, "left")
-    values = []
-    for new in cols.values():
-        value = F.col(f"_v_{new}")
-        if unique:
-            value = F.when(F.col("_n") > 1, F.raise_error(F.lit(f"more than one {new} for one key"))).otherwise(value)
-        values.append(value.alias(new))
-    return joined.select(*[F.col(c) for c in df.columns], *values)
+        right = dim.selectExpr(*[f"{k} as {name}" for name, k in keys.items()], *[f"{c} as {v}" for v, c in zip(values, cols)])
+    test = F.expr(" and ".join(f"{left} = {name}" for left, name in zip(on, keys)))
+    taken = []
+    for v, new in zip(values, cols.values()):
+        guarded = f"case when _n > 1 then raise_error('more than one {new} for one key') else {v} end"
+        taken.append(f"{guarded if unique else v} as {new}")
+    helpers = ", ".join([*keys, *values, *(["_n"] if unique else [])])
+    return df.join(right, test, "left").selectExpr(f"* except ({helpers})", *taken)
 
 
 def scalar(df: DataFrame, value: Column) -> Column:
@@ -70,7 +65,7 @@ def valid_country(df: DataFrame, country: DataFrame, col: str, flag: str) -> Dat
     """Whether ``col`` is the code of an active country."""
     active = country.where(F.col("status") == "Y").select(F.col("country_iso").alias("_code")).distinct()
     joined = df.join(active, F.col(col) == F.col("_code"), "left")
-    return joined.select(*[F.col(c) for c in df.columns], F.col("_code").isNotNull().alias(flag))
+    return joined.selectExpr("* except (_code)", f"_code is not null as {flag}")
 
 
 def last_two(c: Column) -> Column:

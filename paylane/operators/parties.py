@@ -19,62 +19,81 @@ def resolve_parties(t: dict[str, DataFrame], network_first: str = "user", wallet
     network code from the side that ``network_first`` names. Columns that a plan does not use are pruned from the scans.
     """
     w, p, u = (wallets if wallets is not None else t["wallet"]).alias("w"), t["party"].alias("p"), t["channel_user"].alias("u")
-    joined = w.join(
-        p, (F.col("w.user_id") == F.col("p.user_id")) & (F.col("w.user_type") == F.col("p.user_type")), "left"
-    ).join(u, (F.col("w.user_id") == F.col("u.user_id")) & (F.col("w.user_type") != "SUBSCRIBER"), "left")
-    operator = F.col("w.user_type") == "OPERATOR"
-    has_party, has_user = F.col("p.user_id").isNotNull(), F.col("u.user_id").isNotNull()
+    joined = w.join(p, F.expr("w.user_id = p.user_id and w.user_type = p.user_type"), "left").join(
+        u, F.expr("w.user_id = u.user_id and w.user_type <> 'SUBSCRIBER'"), "left"
+    )
+    found = joined.where("w.user_type = 'OPERATOR' or p.user_id is not null or u.user_id is not null")
 
-    def either(c: str) -> Column:
-        return F.coalesce(F.col(f"p.{c}"), F.col(f"u.{c}"))
+    def either(*names: str) -> list[str]:
+        return [f"coalesce(p.{c}, u.{c}) as {c}" for c in names]
 
-    def owner(party: Column, user: Column, wallet: Column) -> Column:
+    def owner(party: str, user: str, wallet: str) -> str:
         """From whoever was found, even if that one has no value."""
-        return F.when(has_party, party).when(has_user, user).otherwise(wallet)
-
-    def day(c: Column) -> Column:
-        return F.date_trunc("DAY", c).cast("timestamp_ntz")
-
-    network = ["p.network_code", "u.network_code"] if network_first == "party" else ["u.network_code", "p.network_code"]
-    code = F.col("p.external_code")
-    any_code = either("external_code")
-    return joined.where(operator | has_party | has_user).select(
-        F.col("w.wallet_number"),
-        F.when(operator, F.col("w.user_type")).otherwise(either("user_type")).alias("user_type"),
-        owner(F.col("p.msisdn"), F.col("u.msisdn"), F.col("w.msisdn")).alias("msisdn"),
-        F.coalesce("w.user_id", "p.user_id", "u.user_id").alias("user_id"),
-        F.when(operator, F.col("w.status")).otherwise(either("status")).alias("status"),
-        F.col("w.is_primary").alias("wallet_primary"),
-        F.col("w.status").alias("wallet_status"),
-        F.col("w.created_on").alias("wallet_created_on"),
-        F.col("w.modified_on").alias("wallet_modified_on"),
-        F.col("w.payment_type_id"),
-        F.col("w.mpay_profile_id"),
-        F.col("w.user_grade"),
-        F.coalesce(*network).alias("network_code"),
-        either("category_code").alias("join_category"),
-        F.coalesce("u.category_code", "p.category_code").alias("category_code"),
-        *[either(c).alias(c) for c in ("user_name", "last_name", "address1", "address2", "city", "gender")],
-        tidy_upper(either("designation")).alias("designation"),
-        tidy_upper(either("state")).alias("state"),
-        F.col("u.agent_code"),
-        F.col("p.remarks"),
-        tidy_upper(owner(F.col("p.state"), F.col("u.designation"), F.col("w.msisdn"))).alias("user_mark"),
-        day(either("dob")).alias("dob"),
-        owner(F.col("p.created_on"), F.col("u.created_on"), F.col("w.created_on")).alias("created_on"),
-        day(owner(F.col("p.created_on"), F.col("u.level2_approved_on"), F.col("w.created_on"))).alias("creation_date"),
-        day(owner(F.col("p.modified_on"), F.col("u.modified_approved_on"), F.col("w.modified_on"))).alias("modification_date"),
-        code_part(code, 5, F.col("p.residence_country")).alias("home_country_code"),
-        code_part(code, 3, F.col("p.nationality")).alias("nationality_code"),
-        has_structured_code(code).alias("structured"),
-        F.substring(code, 2, 1).alias("id_type_code"),
-        F.col("p.id_type").alias("party_id_type"),
-        clean_text(F.col("p.id_no")).alias("clean_id_no"),
-        # The test reads either code, the number only the party's: a user's structured code gives no number.
-        F.when(has_structured_code(any_code), F.nullif(F.substr(code, F.lit(7)), F.lit("")))
-        .otherwise(F.coalesce(F.col("p.id_no"), clean_text(any_code)))
-        .alias("id_number"),
+        return f"case when p.user_id is not null then p.{party} when u.user_id is not null then u.{user} else w.{wallet} end"
+
+    def day(e: str) -> str:
+        return f"cast(date_trunc('DAY', {e}) as timestamp_ntz)"
+
+    def operators_own(c: str) -> str:
+        return f"case when w.user_type = 'OPERATOR' then w.{c} else coalesce(p.{c}, u.{c}) end as {c}"
+
+    network = "p.network_code, u.network_code" if network_first == "party" else "u.network_code, p.network_code"
+    facts = found.selectExpr(
+        "w.wallet_number",
+        operators_own("user_type"),
+        operators_own("status"),
+        f"{owner('msisdn', 'msisdn', 'msisdn')} as msisdn",
+        "coalesce(w.user_id, p.user_id, u.user_id) as user_id",
+        "w.is_primary as wallet_primary",
+        "w.status as wallet_status",
+        "w.created_on as wallet_created_on",
+        "w.modified_on as wallet_modified_on",
+        "w.payment_type_id",
+        "w.mpay_profile_id",
+        "w.user_grade",
+        f"coalesce({network}) as network_code",
+        "coalesce(p.category_code, u.category_code) as join_category",
+        "coalesce(u.category_code, p.category_code) as category_code",
+        *either("user_name", "last_name", "address1", "address2", "city", "gender", "designation", "state"),
+        "u.agent_code",
+        "p.remarks",
+        f"{owner('state', 'designation', 'msisdn')} as user_mark",
+        f"{day('coalesce(p.dob, u.dob)')} as dob",
+        f"{owner('created_on', 'created_on', 'created_on')} as created_on",
+        f"{day(owner('created_on', 'level2_approved_on', 'created_on'))} as creation_date",
+        f"{day(owner('modified_on', 'modified_approved_on', 'modified_on'))} as modification_date",
+        "p.external_code as party_code",
+        "coalesce(p.external_code, u.external_code) as any_code",
+        "p.residence_country as party_residence",
+        "p.nationality as party_nationality",
+        "p.id_type as party_id_type",
+        "p.id_no as party_id_no",
+    )
+    return facts.withColumns({c: tidy_upper(F.col(c)) for c in ("designation", "state", "user_mark")})
+
+
+def with_identity(parties: DataFrame, id_type: DataFrame) -> DataFrame:
+    """Countries, identity type and identity number, read from a structured code or else from the columns of their own.
+
+    The number's test reads either code, the number itself only the party's: a user's structured code gives no number. The
+    type is the label of the code's letter, else the type on file, else ``OTHER``.
+    """
+    code, number = F.col("party_code"), F.col("party_id_no")
+    x = parties.withColumns(
+        {
+            "home_country_code": code_part(code, 5, F.col("party_residence")),
+            "nationality_code": code_part(code, 3, F.col("party_nationality")),
+            "_type_letter": F.substring(code, 2, 1),
+            "clean_id_no": clean_text(number),
+            "id_number": F.when(
+                has_structured_code(F.col("any_code")), F.nullif(F.substr(code, F.lit(7)), F.lit(""))
+            ).otherwise(F.coalesce(number, clean_text(F.col("any_code")))),
+        }
     )
+    x = lookup(x, id_type, {"_type_letter": "type_id"}, {"idtype_label": "_label"}, unique=True)
+    # A label is only asked for where the code is structured, so only there may a duplicate fail.
+    label = F.when(has_structured_code(code), F.col("_label")).otherwise(F.coalesce("party_id_type", F.lit("OTHER")))
+    return x.withColumn("identity_type", label).drop("_label", "_type_letter")
 
 
 def with_domain(parties: DataFrame, category: DataFrame) -> DataFrame:
@@ -93,13 +112,6 @@ def with_grade(df: DataFrame, grade: DataFrame, code: str) -> DataFrame:
     return lookup(df, grade.where(F.col("status") == "Y"), {code: "grade_code"}, {"grade_name": "grade_name"})
 
 
-def with_id_type(parties: DataFrame, id_type: DataFrame) -> DataFrame:
-    """Identity type: the label of a structured code's letter, else the type on file, else ``OTHER``."""
-    x = lookup(parties, id_type, {"id_type_code": "type_id"}, {"idtype_label": "_label"}, unique=True)
-    label = F.when(F.col("structured"), F.col("_label")).otherwise(F.coalesce("party_id_type", F.lit("OTHER")))
-    return x.withColumn("identity_type", label).drop("_label")
-
-
 def route_identity(identity_type: Column, number: Column) -> tuple[Column, Column]:
     """The passport field and the other-identity field: the number is in one of them, the other is blank."""
     passport = decode(identity_type, "PASSPORT", number, default=F.lit(" "))

@@ -21,7 +21,7 @@ from ..functions import (
 from ..operators.cohorts import active_users, created_before, flag_cohort, reactivated, unregistered_receivers
 from ..operators.layout import Field, blanks, fixed_width, quoted_pipe, reserved
 from ..operators.lookups import valid_country
-from ..operators.parties import eligible, resolve_parties, route_identity, with_categories, with_grade, with_id_type
+from ..operators.parties import eligible, resolve_parties, route_identity, with_categories, with_grade, with_identity
 from ..params import ALL, RunParams
 
 ORDER = ["customer"]
@@ -60,7 +60,7 @@ def _country(code: str, valid: str) -> Column:
 def extract_customer(t: dict[str, DataFrame], p: RunParams) -> DataFrame:
     """Fixed-width lines of 34 fields. Registered and unregistered customers share the layout."""
     users = reported_users(eligible(resolve_parties(t, "user"), primary_only=True), t, p)
-    users = with_id_type(users, t["id_type"])
+    users = with_identity(users, t["id_type"])
     users = valid_country(users, t["country"], "home_country_code", "home_valid")
     users = valid_country(users, t["country"], "nationality_code", "nationality_valid")
     passport, _ = route_identity(F.col("identity_type"), F.col("id_number"))
@@ -147,7 +147,7 @@ def _fields(*names: str) -> list[Field]:
 def extract_customer_ext(t: dict[str, DataFrame], p: RunParams) -> DataFrame:
     """Quoted lines of 60 fields. Activity totals have no field in the layout, so they are no part of this plan."""
     users = reported_users(eligible(resolve_parties(t, "user"), primary_only=True), t, p)
-    users = with_grade(with_categories(with_id_type(users, t["id_type"]), t), t["grade"], "user_grade")
+    users = with_grade(with_categories(with_identity(users, t["id_type"]), t), t["grade"], "user_grade")
     _, other_identity = route_identity(F.col("identity_type"), unquote(F.col("id_number")))
     institute = F.rpad(F.lit(p.institute), 4, " ")
     registered = users.select(

@@ -14,7 +14,6 @@ so that tests on them reach the scan, and bucketing and runtime filters on keys
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Physical table names in the source databases.
 PHYSICAL_NAMES = {
@@ -89,22 +88,16 @@ _CODES = {
 
 def conform(df: DataFrame, table: str, empty_text: bool = True) -> DataFrame:
     """The table's columns in their types. Empty text becomes missing, absent columns too; decimals keep their scale."""
-    present = {f.name.lower(): f for f in df.schema.fields}
+    present = {f.name.lower(): (f"`{f.name}`", f.dataType.simpleString()) for f in df.schema.fields}
     out = []
     for name, kind in SCHEMAS[table].items():
-        field = present.get(name)
-        if field is None:
-            c = F.lit(None).cast(kind)
-        elif kind == "string":
-            c = F.col(field.name) if field.dataType.simpleString() == "string" else F.col(field.name).cast("string")
-            if empty_text and name not in _CODES[table]:
-                c = F.nullif(c, F.lit(""))
-        elif kind.startswith("decimal") and field.dataType.simpleString().startswith("decimal"):
-            c = F.col(field.name)
-        else:
-            c = F.col(field.name).cast(kind)
-        out.append(c.alias(name))
-    return df.select(*out)
+        c, held = present.get(name, ("null", None))
+        if held is None or not (held == kind or (kind.startswith("decimal") and held.startswith("decimal"))):
+            c = f"cast({c} as {kind})"
+        if held and kind == "string" and empty_text and name not in _CODES[table]:
+            c = f"nullif({c}, '')"
+        out.append(f"{c} as {name}")
+    return df.selectExpr(*out)
 
 
 def _read(spark: SparkSession, table: str, route: dict) -> DataFrame:
