@@ -92,13 +92,11 @@ def run_header(spark: SparkSession, p: RunParams, affiliate: str, version: str,
         ("Country", affiliate),
         ("Compliance Package Version", version),
     ]
-    one = spark.range(1)
-    rows = [one.select(F.lit(k).alias("name"), F.lit(v).alias("value")) for k, v in pairs]
-    rows.insert(4, one.select(F.lit("Duration of treatment").alias("name"), duration_text(F.lit(seconds)).alias("value")))
-    header = rows[0]
-    for row in rows[1:]:
-        header = header.unionByName(row)
-    return header
+    took = duration_text(F.lit(seconds))
+    values = [(name, F.lit(value)) for name, value in pairs]
+    values.insert(4, ("Duration of treatment", took))
+    entries = [F.struct(F.lit(i).alias("position"), F.lit(n).alias("name"), v.alias("value")) for i, (n, v) in enumerate(values)]
+    return spark.range(1).select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
 def lag_row(stats: DataFrame, now: Column) -> DataFrame:
@@ -108,6 +106,45 @@ def lag_row(stats: DataFrame, now: Column) -> DataFrame:
     )
 
 
+# Separator and the two column headings of the printed report.
+SEPARATOR = ";"
+CONTROL_HEADING = ("Control", "Date", "Lag")
+OUTPUT_HEADING = ("Extraction", "Extraction time", "End of the extraction", "File size", "Nb of lines", "Nb of distinct lines")
+# Header rows that the report closes with a separator.
+CLOSED_ROWS = ("Duration of treatment", "Compliance Package Version")
+
+
+def report_lines(header: DataFrame, lag: DataFrame, rows: DataFrame) -> DataFrame:
+    """The report as text lines in order: header, synchronisation, outputs. A few dozen rows."""
+    spark = header.sparkSession
+
+    def fixed(section: int, place: int, text: str) -> DataFrame:
+        return spark.range(1).select(F.lit(section).alias("section"), F.lit(place).alias("place"), F.lit(text).alias("line"))
+
+    def stamp(c: str) -> Column:
+        return F.date_format(F.col(c), "dd/MM/yyyy HH:mm:ss")
+
+    end = F.when(F.col("name").isin(*CLOSED_ROWS), SEPARATOR).otherwise("")
+    top = header.select(F.lit(0).alias("section"), F.col("position").alias("place"), F.concat("name", F.lit(SEPARATOR), "value", end).alias("line"))
+    control = lag.select(
+        F.lit(1).alias("section"), F.lit(2).alias("place"), F.concat_ws(SEPARATOR, "control", stamp("checked_at"), F.coalesce("lag", F.lit(""))).alias("line")
+    )
+    fields = ["output", "extraction_time", stamp("finished_at"), *[F.col(c).cast("string") for c in ("size_bytes", "n_lines", "n_distinct")], F.lit("")]
+    body = rows.select(F.lit(2).alias("section"), (F.col("position") + 3).alias("place"), F.concat_ws(SEPARATOR, *fields).alias("line"))
+    text = top
+    for part in (
+        fixed(1, 0, ""),
+        fixed(1, 1, SEPARATOR.join(CONTROL_HEADING)),
+        control,
+        fixed(2, 0, ""),
+        fixed(2, 1, ""),
+        fixed(2, 2, SEPARATOR.join(OUTPUT_HEADING)),
+        body,
+    ):
+        text = text.unionByName(part)
+    return text.orderBy("section", "place").select("line")
+
+
 def extracts(spark: SparkSession, main: dict[str, DataFrame], accounts: dict[str, DataFrame], p: RunParams):
     """The seven extracts in report order: name, a builder of the lines with their sort columns, sort columns.
 

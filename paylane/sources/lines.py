@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Copies of one line that are kept together while sorting.
 COPIES_PER_SLICE = 10_000
+# Lines per part file, so that a file can be digested within one task.
+LINES_PER_FILE = 250_000
 
 
 def total_order(df: DataFrame, order: list[str]) -> DataFrame:
@@ -29,11 +31,15 @@ def write_lines(df: DataFrame, path: str, order: list[str], fold_copies: bool =
     spread over the range, and are written out again in full.
     """
     if not fold_copies:
-        total_order(df, order).select("line").write.mode("overwrite").text(path)
+        _write_text(total_order(df, order).select("line"), path)
         return
     ordered = _sliced_copies(df, order).orderBy(*[F.asc_nulls_last(c) for c in [*order, "line", "slice"]])
     again = F.explode(F.array_repeat(F.col("line"), F.col("size"))).alias("line")
-    ordered.select(again).write.mode("overwrite").text(path)
+    _write_text(ordered.select(again), path)
+
+
+def _write_text(lines: DataFrame, path: str) -> None:
+    lines.write.mode("overwrite").option("maxRecordsPerFile", LINES_PER_FILE).text(path)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -43,8 +49,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 def file_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Name, size, modification time and MD5 of every part file.
 
-    The digest reads a file whole inside one task, so it suits part files of bounded size
-    (``spark.sql.files.maxRecordsPerFile`` bounds them at the writer).
+    A digest needs a file whole inside one task; ``write_lines`` bounds the files for that.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
     return files.select(

@@ -104,7 +104,12 @@ def _read(spark: SparkSession, table: str, route: dict) -> DataFrame:
     own = dict(route.get("tables", {}).get(table, {}))
     kind = own.pop("format", route.get("format", "parquet"))
     if kind == "jdbc":
-        options = {**route.get("options", {}), "dbtable": PHYSICAL_NAMES[table], **own}
+        # Partitioned reading is per table: by column bounds (reader options) or by a list of predicates.
+        predicates = own.pop("predicates", None)
+        options = {"preferTimestampNTZ": "true", **route.get("options", {}), "dbtable": PHYSICAL_NAMES[table], **own}
+        if predicates:
+            url, name = options.pop("url"), options.pop("dbtable")
+            return spark.read.jdbc(url, name, predicates=predicates, properties=options)
         return spark.read.format("jdbc").options(**options).load()
     path = own.pop("path", None) or f"{route['base'].rstrip('/')}/{table}"
     return spark.read.format(kind).options(**{**route.get("options", {}), **own}).load(path)

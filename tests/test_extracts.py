@@ -206,3 +206,8 @@ def test_full_run(spark, tmp_path, demo):
     assert len(parts(written[5].path)) > 0
     header = {r.name: r.value for r in report.run_header(spark, JANUARY, "Here", "1.0", 61.0, datetime(2020, 1, 1)).collect()}
     assert header["Duration of treatment"] == "0:01:01" and header["Data of"] == "01/01/2000"
+    lag = report.lag_row(demo["replica_stat"].limit(0), F.lit("2000-01-31 12:00:00").cast("timestamp_ntz"))
+    text = [r.line for r in report.report_lines(report.run_header(spark, JANUARY, "Here", "1.0", 61.0, datetime(2020, 1, 1)), lag, rows).collect()]
+    assert text[0] == "Generation Date;01/01/2020 00:00:00" and text[4] == "Duration of treatment;0:01:01;"
+    assert text[6:8] == ["", "Control;Date;Lag"]
+    assert [x.split(";")[0] for x in text[-7:]] == list(report.OUTPUTS) and all(x.endswith(";") for x in text[-7:])

@@ -207,3 +207,37 @@ def test_network_precedence(tables):
                party=[dict(user_id="X", user_type="CHANNEL", network_code="P")], channel_user=[dict(user_id="X", network_code="U")])
     assert parties.resolve_parties(t, "user").first().network_code == "U"
     assert parties.resolve_parties(t, "party").first().network_code == "P"
+
+
+def test_hot_transfer_is_split_at_run_time(spark, tables, make):
+    """A third of all legs in one transfer: the join with the headers must not leave them to one task."""
+    from paylane.sources import conform
+
+    legs = spark.range(60_000).selectExpr(
+        "case when id % 3 = 0 then 'HOT' else concat('T', id % 500) end as transfer_id", "timestamp_ntz'2020-05-01 09:00:00' as transfer_date",
+        "concat('A', id) as a", "concat('B', id) as b", "cast(id as decimal(20,2)) as transfer_value", "'P2P' as service_type")
+    received = legs.selectExpr("*", "'MR' as transaction_type", "b as party_id", "a as second_party", "concat('W', b) as wallet_number")
+    paid = legs.selectExpr("*", "'MP' as transaction_type", "a as party_id", "b as second_party", "concat('W', a) as wallet_number")
+    t = tables()
+    items = conform(received.unionByName(paid), "txn_item")
+    headers = conform(legs.select("transfer_id", "transfer_date").distinct(), "txn_header")
+    tuned = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    before = {k: spark.conf.get(k) for k in tuned}
+    try:
+        for k, v in tuned.items():
+            spark.conf.set(k, v)
+        x = ledger.open_transfers(ledger.header_slice(headers, RUN.start, RUN.end), items, t)
+        df = x.groupBy("service_type").agg(F.count("sender_wallet").alias("n"))
+        assert df.first().n == 60_000
+        rows = df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert rows[0].n == 60_000
+    assert "SortMergeJoin(skew=true) [transfer_id" in plan
