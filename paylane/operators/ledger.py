@@ -116,11 +116,13 @@ def charge_totals(items: DataFrame, factor: Column) -> DataFrame:
     """Total service charge per transfer, over all its pairs.
 
     Legs are counted per pairing key before they meet, and each pair of counts contributes value x count x count. So the
-    pairs are never listed, and a transfer with many equal legs is a handful of rows. The totals are keyed by transfer and lot.
+    pairs are never listed, and a transfer with many equal legs is a handful of rows. A charged main leg is paid by the fee
+    party, so of the main payer legs only those are read. The totals are keyed by transfer and lot.
     """
     kinds = ("MR", "SCR")
+    payable = items.where((F.col("transaction_type") == LEG_PAIRS["SCR"]) | (F.col("party_id") == FEE_PARTY))
     charged = receiver_legs(items, kinds).where(is_charge()).groupBy(*PAIR_KEY).agg(F.count(F.lit(1)).alias("n_receiver"))
-    paid = payer_legs(items, kinds).groupBy(*PAIR_KEY).agg(F.count(F.lit(1)).alias("n_payer"))
+    paid = payer_legs(payable, kinds).groupBy(*PAIR_KEY).agg(F.count(F.lit(1)).alias("n_payer"))
     total = F.sum(F.col("transfer_value") * F.col("n_receiver") * F.col("n_payer"))
     return (
         with_lot(charged.join(paid, list(PAIR_KEY)), "transfer_id")
