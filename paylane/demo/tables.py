@@ -39,7 +39,7 @@ select h.transfer_id, h.transfer_date, h.service_type, h.transfer_subtype, h.tra
  case when l.l_linenumber = 1 then case o_orderkey % 6
    when 0 then '1#a#b#1IRTV3#GB#GBP#g#h#i#j#k#WorldRemit#z' when 1 then '01#a#b#c#fr#eur#x' when 2 then '2#a#b#c#FR#EUR#'
    when 3 then '1#a#b#c##' when 4 then 'abc' end end as txn_mode
-from lineitem l join txn_header h on h.o_orderkey = l.l_orderkey where l.l_linenumber <= 3""",
+from lineitem l join txn_header h on h.o_orderkey = l.l_orderkey""",
     "txn_item": """
 select transfer_id, transfer_date, service_type, transfer_subtype, transfer_status,
  case when side = 'P' then case l_linenumber when 1 then 'MP' when 2 then 'CP' else 'SCP' end
