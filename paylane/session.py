@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution does the runtime planning: partition coalescing, join strategy by measured size, and
 # splitting of skewed join partitions, also where the split costs one more shuffle downstream.
@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+SHARED_DIR = "spark.checkpoint.dir"
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
@@ -23,10 +25,41 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Driver and executors are one process, so that any folder is shared; ``local-cluster`` is not."""
+    return master == "local" or master.startswith("local[")
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names.
+
+    Unset is an error, except on a local master, where a fresh temporary folder is set for the session. A path without
+    a scheme counts as one of the cluster's default file system.
+    """
+    shared = spark.conf.get(SHARED_DIR, None)
+    if shared:
+        return shared.rstrip("/")
+    if not is_local(spark.sparkContext.master):
+        raise ValueError(f"{SHARED_DIR} must name a folder that driver and executors share")
+    shared = tempfile.mkdtemp(prefix="paylane-")
+    spark.conf.set(SHARED_DIR, shared)
+    return shared
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder name below the shared folder that the cluster names; a local temporary one if it names none."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        shared = tempfile.mkdtemp(prefix="paylane-")
-        spark.conf.set("spark.checkpoint.dir", shared)
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh folder name below the shared folder."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once below the shared folder and read back: recomputation ends there, also after lost executors."""
+    spark = df.sparkSession
+    path = work_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate data through the file system that holds it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

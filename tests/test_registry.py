@@ -7,6 +7,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as contract  # noqa: E402
 import check  # noqa: E402
+from paylane.demo import registry  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 # Rows alone are compared for this one: it lists files that the run itself has just written.
@@ -19,7 +20,7 @@ def con():
 
 
 def test_every_query_has_a_counterpart():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == WITHOUT_SQL
+    assert set(registry.QUERIES) - set(registry.ORACLES) == WITHOUT_SQL
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
@@ -27,7 +28,7 @@ def test_flagship_row_count(spark):
     assert contract.entry(spark).count() == 6
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_agrees_with_duckdb(spark, con, name):
     ok, text = check.compare(spark, con, name, SF)
     assert ok, text
