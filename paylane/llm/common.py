@@ -49,3 +49,8 @@ def slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
 def texts_of(column: pa.Array) -> list[str]:
     """Texts of an Arrow column, null as empty."""
     return [x or "" for x in column.to_pylist()]
+
+
+def broadcast_if_small(table: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """A stored table of narrow rows, to be broadcast if it is counted to have no more than ``rows``; else joined by shuffle."""
+    return F.broadcast(table) if table.count() <= rows else table
