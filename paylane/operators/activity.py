@@ -11,17 +11,21 @@ from ..functions import volume_class
 from ..functions.dates import moment
 from ..functions.rules import volume_threshold
 from ..params import RunParams
-from .ledger import assemble_ledger, header_slice, in_run, items_of, late_headers, open_transfers
-from .lookups import scalar
+from .ledger import assemble_ledger, header_slice, in_run, late_headers, late_items, open_transfers
+from .lookups import only
 from .parties import resolve_parties, with_domain
 
 
-def activity_ledger(t: dict[str, DataFrame], p: RunParams) -> DataFrame:
-    """The window's transfers together with the late-changed ones and their pairs."""
+def activity_ledger(t: dict[str, DataFrame], p: RunParams, late_legs: DataFrame | None = None) -> DataFrame:
+    """The window's transfers together with the late-changed ones and their pairs.
+
+    ``late_legs``: the stored items of the late headers, where the run has them already.
+    """
     late = late_headers(t["txn_header"], p.start, p.end)
+    late_legs = late_items(t, p.start, p.end) if late_legs is None else late_legs
     headers = header_slice(t["txn_header"], p.ledger_start, p.end).unionByName(late)
     in_time = open_transfers(headers, in_run(t["txn_item"], p.ledger_start, p.end), t)
-    after = open_transfers(headers, items_of(t["txn_item"], late), t)
+    after = open_transfers(headers, late_legs, t)
     return assemble_ledger(in_time.unionByName(after), with_domain(resolve_parties(t, "party"), t["category"]), t)
 
 
@@ -49,7 +53,7 @@ def activity_profile(ledger: DataFrame, network: DataFrame, end: datetime, days:
         F.max(F.when(debit, F.col("transfer_date"))).alias("max_debit_date"),
         F.max(F.when(credit, F.col("transfer_date"))).alias("max_credit_date"),
     )
-    threshold = scalar(network, volume_threshold(F.col("network_code")))
+    threshold = only(network, volume_threshold(F.col("network_code")), "network")
     return totals.drop("_apart").withColumns(
         {
             "last_transfer_date": F.greatest("max_debit_date", "max_credit_date"),

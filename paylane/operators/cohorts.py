@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import moment
-from .ledger import in_run, items_of, late_headers
-from .skew import LOT, distinct_apart, with_lot
+from .ledger import in_run, late_items
 
 # Categories that count as customers.
 CUSTOMER_CATEGORIES = ("CHUSER", "SUBS")
@@ -27,7 +26,7 @@ def active_items(t: dict[str, DataFrame], start: datetime, end: datetime) -> Dat
 
 def active_users(t: dict[str, DataFrame], start: datetime, end: datetime) -> DataFrame:
     items = active_items(t, start, end).select(F.col("party_id").alias("user_id"), F.col("account_id").alias("msisdn"))
-    return distinct_apart(items, "user_id", "msisdn")
+    return items.distinct()
 
 
 def _comparable() -> Column:
@@ -36,7 +35,7 @@ def _comparable() -> Column:
 
 def split_activity(events: DataFrame, at: Column, start: datetime) -> DataFrame:
     """Per user and phone, whether there is activity from ``start`` on and before it."""
-    return with_lot(events, "user_id", "msisdn").groupBy("user_id", "msisdn", LOT).agg(
+    return events.groupBy("user_id", "msisdn").agg(
         F.bool_or(at >= moment(start)).alias("in_window"), F.bool_or(at < moment(start)).alias("before")
     )
 
@@ -63,15 +62,21 @@ def flag_cohort(users: DataFrame, cohort: DataFrame, flag: str = "in_cohort") ->
     return marked.withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 
-def unregistered_receivers(t: dict[str, DataFrame], start: datetime, end: datetime) -> DataFrame:
-    """Receivers without an account: of the window's transfers, and of late-changed ones."""
+def unregistered_receivers(
+    t: dict[str, DataFrame], start: datetime, end: datetime, late_legs: DataFrame | None = None
+) -> DataFrame:
+    """Receivers without an account: of the window's transfers, and of late-changed ones.
+
+    ``late_legs``: the stored items of the late headers, where the run has them already.
+    """
+    late_legs = late_items(t, start, end) if late_legs is None else late_legs
+
     def named(items: DataFrame) -> DataFrame:
         legs = items.where((F.col("transaction_type") == "MR") & F.col("unreg_user_id").isNotNull())
         return legs.select("transfer_id", "unreg_user_id")
 
     in_time = named(in_run(t["txn_item"], start, end))
-    late = named(items_of(t["txn_item"], late_headers(t["txn_header"], start, end)))
-    seen = in_time.unionByName(late).distinct()
+    seen = in_time.unionByName(named(late_legs)).distinct()
     kyc = t["receiver_kyc"].select(F.col("p2p_transfer_id").alias("transfer_id"), "rec_fname", "rec_lname", "rec_dob", "rec_idno")
     return seen.join(kyc, "transfer_id").join(t["unreg_user"], "unreg_user_id")
 

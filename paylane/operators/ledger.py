@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import in_window, is_settled, party_type, reclassify, scale, settled_flag
 from ..functions.dates import moment
 from ..functions.rules import CORRECTION_SERVICES, FEE_PARTY
+from ..session import broadcast_if_small, staged
 from .lookups import currency_factor
 from .skew import LOT, with_lot
 
@@ -65,8 +66,17 @@ def in_run(items: DataFrame, start: datetime, end: datetime) -> DataFrame:
 
 
 def items_of(items: DataFrame, headers: DataFrame) -> DataFrame:
-    """Items of the given headers, whatever their own date."""
-    return items.join(headers.select("transfer_id"), "transfer_id", "left_semi")
+    """Items of the given headers, whatever their own date.
+
+    The ids are stored and counted first: few of them are broadcast, so that the undated item scan is not shuffled.
+    """
+    ids = staged(headers.select("transfer_id").distinct(), "header-ids")
+    return items.join(broadcast_if_small(ids), "transfer_id", "left_semi")
+
+
+def late_items(t: dict[str, DataFrame], start: datetime, end: datetime) -> DataFrame:
+    """Items of late-changed headers, stored: one undated scan of the items serves every leg and every extract of a run."""
+    return staged(items_of(t["txn_item"], late_headers(t["txn_header"], start, end)), "late-items")
 
 
 def receiver_legs(items: DataFrame, kinds: tuple[str, ...] = ALL_KINDS) -> DataFrame:
@@ -228,8 +238,11 @@ def moved_money(items: DataFrame, headers: DataFrame) -> DataFrame:
 
     Existence is all that counts, so both directions are semi-joins: copies of legs never multiply.
     """
-    settled = settled_only(headers).select("transfer_id")
-    receivers = receiver_legs(items, ("MR",)).join(settled, "transfer_id", "left_semi")
+    legs = receiver_legs(items, ("MR",))
+    # Headers are not dated here. Thinned by the legs' own ids, their history streams past the ids instead of being shuffled.
+    ids = staged(legs.select("transfer_id").distinct(), "leg-ids")
+    settled = settled_only(headers).join(broadcast_if_small(ids), "transfer_id", "left_semi").select("transfer_id")
+    receivers = legs.join(settled, "transfer_id", "left_semi")
     payers = payer_legs(items, ("MR",))
     received = receivers.join(payers, list(PAIR_KEY), "left_semi").select(F.col("receiver_wallet").alias("wallet_number"))
     sent = payers.join(receivers, list(PAIR_KEY), "left_semi").select(F.col("sender_wallet").alias("wallet_number"))

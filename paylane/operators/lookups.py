@@ -41,13 +41,26 @@ def scalar(df: DataFrame, value: Column) -> Column:
     return df.agg(F.max(value)).scalar()
 
 
+def only(df: DataFrame, value: Column, what: str) -> Column:
+    """One value of a table that may hold one row at most, as a scalar subquery; a second row is an error, none is null."""
+    error = F.raise_error(F.lit(f"more than one {what}"))
+    return df.agg(F.when(F.count(F.lit(1)) > 1, error).otherwise(F.max(value))).scalar()
+
+
 def env_value(t: dict[str, DataFrame], key: str) -> Column:
+    """The setting as the report prints it: the greatest, if it is given twice."""
     return scalar(t["env_param"].where(F.col("param_key") == key), F.col("param_val_text"))
 
 
+def env_setting(t: dict[str, DataFrame], key: str) -> Column:
+    """The setting as transfers use it: it must not be given twice."""
+    return only(t["env_param"].where(F.col("param_key") == key), F.col("param_val_text"), key)
+
+
 def currency_factor(t: dict[str, DataFrame]) -> Column:
-    text = scalar(t["system_preference"].where(F.col("preference_code") == "CURRENCY_FACTOR"), F.col("default_value"))
-    return F.coalesce(text.cast("decimal(20,6)"), F.lit(DEFAULT_FACTOR).cast("decimal(20,6)"))
+    given = t["system_preference"].where(F.col("preference_code") == "CURRENCY_FACTOR")
+    factor = only(given, F.col("default_value").cast("decimal(20,6)"), "CURRENCY_FACTOR")
+    return F.coalesce(factor, F.lit(DEFAULT_FACTOR).cast("decimal(20,6)"))
 
 
 def with_params(df: DataFrame, t: dict[str, DataFrame]) -> DataFrame:
@@ -55,8 +68,8 @@ def with_params(df: DataFrame, t: dict[str, DataFrame]) -> DataFrame:
     return df.withColumns(
         {
             "factor": currency_factor(t),
-            "local_currency": env_value(t, "CURRENCY_CODE"),
-            "home_country": env_value(t, "COMPLIANCE_INSTITUTE"),
+            "local_currency": env_setting(t, "CURRENCY_CODE"),
+            "home_country": env_setting(t, "COMPLIANCE_INSTITUTE"),
         }
     )
 

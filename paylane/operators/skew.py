@@ -16,8 +16,3 @@ LOT = "_lot"
 
 def with_lot(df: DataFrame, *keys: str) -> DataFrame:
     return df.withColumn(LOT, F.crc32(F.concat_ws("|", *keys).cast("binary")))
-
-
-def distinct_apart(df: DataFrame, *keys: str) -> DataFrame:
-    """Distinct keys, not partitioned by them."""
-    return with_lot(df.select(*keys), *keys).distinct().select(*keys)

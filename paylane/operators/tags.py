@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import blank_to_null
+from .skew import LOT, with_lot
 
 
 def max_keep_first(value: Column, key: Column) -> Column:
@@ -43,24 +44,29 @@ def match_rules(
 ) -> DataFrame:
     """The tag of the first matching rule by id (greatest tag on equal ids), else the subtype itself.
 
-    The rules of a subtype travel as one array to the row, which tests them in place: rows are neither multiplied nor
-    grouped back, so the ledger keeps its partitioning. Rules are configuration; their number does not follow the data.
+    Rules are matched against the distinct tuples of values that they ask for, of which there are few however large a subtype
+    is, and the tags go back to the rows by the whole tuple. ``df`` is read twice, so it should be stored. The tags are
+    exchanged apart from their grouping, so a hot tuple can be split at run time.
     """
     equal = ledger_conditions() if equal is None else equal
     differ = {"not_receiver_state": F.col("receiver_state")} if differ is None else differ
-    packed = F.struct("tag_id", "tag_name", *equal, *differ)
-    by_subtype = rules.groupBy(F.col("transfer_subtype").alias("_subtype")).agg(F.collect_set(packed).alias("_rules"))
-
-    def holds(rule: Column) -> Column:
-        test = F.lit(True)
-        for name, value in equal.items():
-            test = test & (rule[name].isNull() | (rule[name] == value))
-        for name, value in differ.items():
-            test = test & (rule[name].isNull() | (value != rule[name]))
-        return F.coalesce(test, F.lit(False))
-
-    ranked = F.transform(
-        F.filter("_rules", holds), lambda rule: F.struct((-rule["tag_id"]).alias("k"), rule["tag_name"].alias("v"))
-    )
-    tagged = df.join(by_subtype, F.col(subtype) == F.col("_subtype"), "left")
-    return tagged.withColumn(out, F.coalesce(F.array_max(ranked)["v"], F.col(subtype))).drop("_rules", "_subtype")
+    asked = {f"_{name}": value for name, value in {**equal, **differ}.items()}
+    rows = df.withColumns({"_subtype": F.col(subtype), **asked})
+    key = F.xxhash64(*["_subtype", *asked], *[F.col(c).isNull() for c in asked])
+    rows = rows.withColumn("_key", key)
+    tuples = rows.select("_key", "_subtype", *asked).distinct()
+    rule = rules.select(F.col("transfer_subtype").alias("_subtype"), "tag_id", "tag_name", *[F.col(c).alias(f"_rule_{c}") for c in (*equal, *differ)])
+    met = F.lit(True)
+    for name in equal:
+        met = met & (F.col(f"_rule_{name}").isNull() | (F.col(f"_rule_{name}") == F.col(f"_{name}")))
+    for name in differ:
+        met = met & (F.col(f"_rule_{name}").isNull() | (F.col(f"_rule_{name}") != F.col(f"_{name}")))
+    first = with_lot(tuples.join(rule, "_subtype").where(met), "_key").groupBy("_key", "_subtype", *asked, LOT)
+    first = first.agg(max_keep_first(F.col("tag_name"), F.col("tag_id")).alias("_tag"))
+    tags = first.select(*[F.col(c).alias(f"{c}_of_tag") for c in ("_key", "_subtype", *asked)], "_tag")
+    same = F.col("_key") == F.col("_key_of_tag")
+    for c in ("_subtype", *asked):
+        same = same & F.col(c).eqNullSafe(F.col(f"{c}_of_tag"))
+    found = rows.join(tags, same, "left").withColumn(out, F.coalesce("_tag", F.col(subtype)))
+    helpers = ["_key", "_subtype", *asked]
+    return found.drop(*helpers, *[f"{c}_of_tag" for c in helpers], "_tag")

@@ -15,10 +15,14 @@ from ..params import RunParams
 ORDER = ["customer", "business_type", "account_no", "business_no", "currency"]
 
 
-def active_accounts(t: dict[str, DataFrame], p: RunParams) -> DataFrame:
+def moving_wallets(t: dict[str, DataFrame], p: RunParams) -> DataFrame:
+    """Wallets that moved money in the ledger window; both account extracts of a run start from them."""
+    return active_wallets(t["wallet"], in_run(t["txn_item"], p.ledger_start, p.end), t["txn_header"])
+
+
+def active_accounts(t: dict[str, DataFrame], p: RunParams, wallets: DataFrame | None = None) -> DataFrame:
     """Eligible wallets active in the ledger window, with their owner, limit and kind."""
-    items = in_run(t["txn_item"], p.ledger_start, p.end)
-    wallets = active_wallets(t["wallet"], items, t["txn_header"])
+    wallets = moving_wallets(t, p) if wallets is None else wallets
     owners = eligible(resolve_parties(t, "user", wallets))
     x = lookup(owners, t["control_profile"], {"mpay_profile_id": "profile_id"}, {"max_balance": "max_balance", "grade_code": "grade_code"})
     x = lookup(x, t["payment_subtype"], {"payment_type_id": "payment_type_id"}, {"subtype_name": "wallet_kind"})
@@ -31,10 +35,10 @@ def with_balance(accounts: DataFrame, balances: DataFrame) -> DataFrame:
     return accounts.join(main, "wallet_number")
 
 
-def extract_account(t: dict[str, DataFrame], p: RunParams) -> DataFrame:
+def extract_account(t: dict[str, DataFrame], p: RunParams, wallets: DataFrame | None = None) -> DataFrame:
     """Fixed-width lines of 35 fields."""
     factor = currency_factor(t)
-    known = with_balance(active_accounts(t, p), t["wallet_balance"]).select(
+    known = with_balance(active_accounts(t, p, wallets), t["wallet_balance"]).select(
         "user_type",
         "msisdn",
         "wallet_status",
@@ -94,11 +98,11 @@ def extract_account(t: dict[str, DataFrame], p: RunParams) -> DataFrame:
     return fixed_width(x, layout, keys=tuple(ORDER))
 
 
-def extract_account_ext(t: dict[str, DataFrame], p: RunParams) -> DataFrame:
+def extract_account_ext(t: dict[str, DataFrame], p: RunParams, wallets: DataFrame | None = None) -> DataFrame:
     """Quoted lines of 64 fields. No balance is asked for, so it can hold more wallets than the account extract."""
     factor = currency_factor(t)
     known = (
-        with_grade(active_accounts(t, p), t["grade"], "grade_code")
+        with_grade(active_accounts(t, p, wallets), t["grade"], "grade_code")
         .select(
             "user_type",
             "msisdn",

@@ -57,9 +57,19 @@ def _country(code: str, valid: str) -> Column:
     return F.when(F.col(valid), _or_blank(F.col(code))).otherwise(" ")
 
 
-def extract_customer(t: dict[str, DataFrame], p: RunParams) -> DataFrame:
-    """Fixed-width lines of 34 fields. Registered and unregistered customers share the layout."""
-    users = reported_users(eligible(resolve_parties(t, "user"), primary_only=True), t, p)
+def run_users(t: dict[str, DataFrame], p: RunParams) -> DataFrame:
+    """The users that both customer extracts of a run report."""
+    return reported_users(eligible(resolve_parties(t, "user"), primary_only=True), t, p)
+
+
+def extract_customer(
+    t: dict[str, DataFrame], p: RunParams, users: DataFrame | None = None, late_legs: DataFrame | None = None
+) -> DataFrame:
+    """Fixed-width lines of 34 fields. Registered and unregistered customers share the layout.
+
+    ``users`` and ``late_legs``: stored users to report and late items, where the run has them already.
+    """
+    users = run_users(t, p) if users is None else users
     users = with_identity(users, t["id_type"])
     users = valid_country(users, t["country"], "home_country_code", "home_valid")
     users = valid_country(users, t["country"], "nationality_code", "nationality_valid")
@@ -81,7 +91,7 @@ def extract_customer(t: dict[str, DataFrame], p: RunParams) -> DataFrame:
         gender_letter(F.col("gender")).alias("gender"),
     )
     space = F.lit(" ")
-    unregistered = unregistered_receivers(t, p.start, p.end).select(
+    unregistered = unregistered_receivers(t, p.start, p.end, late_legs).select(
         F.concat(F.lit("U"), _or_blank(F.col("msisdn"))).alias("customer"),
         _or_blank(F.col("rec_fname")).alias("first_name"),
         F.coalesce(F.nullif(F.trim("rec_lname"), F.lit("")), F.lit("UNKNOWN")).alias("last_name"),
@@ -144,9 +154,11 @@ def _fields(*names: str) -> list[Field]:
     return [Field(n, F.col(n), WIDTHS[n]) for n in names]
 
 
-def extract_customer_ext(t: dict[str, DataFrame], p: RunParams) -> DataFrame:
+def extract_customer_ext(
+    t: dict[str, DataFrame], p: RunParams, users: DataFrame | None = None, late_legs: DataFrame | None = None
+) -> DataFrame:
     """Quoted lines of 60 fields. Activity totals have no field in the layout, so they are no part of this plan."""
-    users = reported_users(eligible(resolve_parties(t, "user"), primary_only=True), t, p)
+    users = run_users(t, p) if users is None else users
     users = with_grade(with_categories(with_identity(users, t["id_type"]), t), t["grade"], "user_grade")
     _, other_identity = route_identity(F.col("identity_type"), unquote(F.col("id_number")))
     institute = F.rpad(F.lit(p.institute), 4, " ")
@@ -172,7 +184,7 @@ def extract_customer_ext(t: dict[str, DataFrame], p: RunParams) -> DataFrame:
         F.col("head_category_name").alias("cust_text_22"),
         F.col("grade_name").alias("cust_text_26"),
     ).distinct()
-    unregistered = unregistered_receivers(t, p.start, p.end).select(
+    unregistered = unregistered_receivers(t, p.start, p.end, late_legs).select(
         institute.alias("institute"),
         F.concat(F.lit("U"), _or_blank(F.col("msisdn"))).alias("customer"),
         unquote(text_tail(F.col("rec_fname"), 32)).alias("cust_text_01"),
