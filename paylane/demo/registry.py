@@ -16,8 +16,7 @@ from ..operators.layout import Field, fixed_width, quoted_pipe, reserved
 from ..params import RunParams
 from ..plans import account, control as report, country, customer, transaction
 from ..session import prepare, work_dir
-from ..sources import file_manifest, read_lines, write_lines
-from ..sources.lines import total_order
+from ..sources import SCHEMAS, file_manifest, load_tables, numbered, read_lines, write_lines
 from . import oracle as o
 from .tables import base_table, demo_tables
 
@@ -93,9 +92,45 @@ def _account_lines_written(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-@raw_query("s_manifest", None)
+@raw_query("s_manifest", "select cast(strlen(line) + 1 as bigint) as size_bytes, md5(line || chr(10)) as md5 from ora_country_lines")
 def s_manifest(spark, sf_dir):
-    return file_manifest(spark, _account_lines_written(spark, sf_dir))
+    """One line per file, so that each digest is that of a line."""
+    path = work_dir(spark, "country-lines")
+    write_lines(country.extract_country(demo_tables(spark, sf_dir)), path, country.ORDER, lines_per_file=1)
+    return file_manifest(spark, path).select("size_bytes", "md5")
+
+
+def _name_column(table: str) -> str:
+    return next(c for c, kind in SCHEMAS[table].items() if kind == "string")
+
+
+@raw_query(
+    "s_tables",
+    " union all ".join(
+        f"select '{table}' as table_name, '{route}' as route, cast(count(*) as bigint) as n_rows,"
+        f" cast(count({_name_column(table)}) as bigint) as n_filled, cast(coalesce(sum(length({_name_column(table)})), 0) as bigint) as n_letters from {table}"
+        for table in SCHEMAS
+        for route in ("main", "accounts")
+    ),
+)
+def s_tables(spark, sf_dir):
+    """Every table written and read again by both routes; on the main one missing text has been stored as empty text."""
+    t, base = demo_tables(spark, sf_dir), {r: work_dir(spark, f"lake-{r}") for r in ("main", "accounts")}
+    for table in SCHEMAS:
+        plain = t[table]
+        texts = {c: F.coalesce(c, F.lit("")) for c, kind in SCHEMAS[table].items() if kind == "string"}
+        plain.withColumns(texts).write.parquet(f"{base['main']}/{table}")
+        plain.write.parquet(f"{base['accounts']}/{table}")
+    config = {"main": {"base": base["main"]}, "accounts": {"base": base["accounts"], "empty_text": False}}
+    rows = None
+    for route in ("main", "accounts"):
+        for table, df in load_tables(spark, config, route).items():
+            name = F.col(_name_column(table))
+            counts = df.agg(
+                F.count(F.lit(1)).alias("n_rows"), F.count(name).alias("n_filled"), F.coalesce(F.sum(F.char_length(name)), F.lit(0)).alias("n_letters")
+            ).select(F.lit(table).alias("table_name"), F.lit(route).alias("route"), "*")
+            rows = counts if rows is None else rows.unionByName(counts)
+    return rows
 
 
 @raw_query("s_lines_roundtrip", o.account_lines())
@@ -443,9 +478,9 @@ def w_run_count(t):
     return control.run_count(lines, key, transaction.ORDER)
 
 
-@query("o_total_order", o.account_lines())
+@query("o_total_order", f"select line, row_number() over (order by line) - 1 as position from ({o.account_lines()})")
 def o_total_order(t):
-    return total_order(account.extract_account(t, WHOLE), account.ORDER).select("line")
+    return numbered(account.extract_account(t, WHOLE), account.ORDER).select("line", "position")
 
 
 @query(
@@ -692,7 +727,7 @@ def c_active_users(t):
     return cohorts.active_users(t, YEAR.start, YEAR.end)
 
 
-for _mode in ("DELTA", "FULLACTIVE", "FULL"):
+for _mode in ("DELTA", "FULLACTIVE", "FULL", "DELTAMONTH", "REGEN"):
     _p = replace(YEAR, mode=_mode)
     _name = _mode.lower()
     query(f"c_customer_{_name}", o.customer_lines(_mode))(lambda t, p=_p: customer.extract_customer(t, p).select("line"))
@@ -720,9 +755,26 @@ def c_transaction_ext(t):
     return transaction.extract_transaction_ext(t, WHOLE).select("line")
 
 
-def country_lines() -> str:
-    number = "printf('%03d', id)"
-    return f"select {o.glue(number, o.rp('country_iso', 3), o.rp('description', 128))} as line from country where status = 'Y'"
+# Runs for one phone number.
+ONE_USER, ONE_SELLER = "22C22", "22S3"
+
+
+@query("c_customer_phone", o.customer_lines("DELTA", f"msisdn = '{ONE_USER}'"))
+def c_customer_phone(t):
+    return customer.extract_customer(t, replace(YEAR, msisdn=ONE_USER)).select("line")
+
+
+@query("c_account_phone", f"select line from ({o.account_lines()}) where substring(line, 6, 15) = rpad('{ONE_SELLER}', 15, ' ')")
+def c_account_phone(t):
+    return account.extract_account(t, replace(WHOLE, msisdn=ONE_SELLER)).select("line")
+
+
+@query("c_transaction_phone", f"select line from ({o.transaction_lines()}) where substring(line, 6, 15) = rpad('{ONE_SELLER}', 15, ' ')")
+def c_transaction_phone(t):
+    return transaction.extract_transaction(t, replace(WHOLE, msisdn=ONE_SELLER)).select("line")
+
+
+country_lines = o.country_lines
 
 
 @query("c_country", country_lines())
@@ -731,7 +783,7 @@ def c_country(t):
 
 
 def _control_sql() -> str:
-    """Sizes and counts over the oracle's own lines, for the one-year delta run."""
+    """Sizes and counts over the oracle's own lines, for the one-year delta run of an institute with a name of four letters."""
     lines = {
         "in_country": (country_lines(), None),
         "in_customer": (o.customer_lines("DELTA"), "substring(split_part(line, ' ', 1), 5, 9)"),
@@ -746,6 +798,7 @@ def _control_sql() -> str:
     }
     rows = []
     for name, (text, key) in lines.items():
+        text = f"""select replace(replace(line, 'CI  ', 'CIXX'), '"CI"', '"CIXX"') as line from ({text})"""
         distinct = f"({_runs(text, key)})" if key else "count(*)"
         rows.append(
             f"select '{name}' as output, cast(sum(strlen(line) + 1) as bigint) as size_bytes, cast(count(*) as bigint) as n_lines,"
@@ -760,24 +813,39 @@ def c_control(spark, sf_dir):
     out = work_dir(spark, "run")
     # Customers over the one-year run, the ledger over the whole history.
     written = [
-        *[w for w in report.write_extracts(spark, t, t, YEAR, out, report.OUTPUTS[:3])],
-        *[w for w in report.write_extracts(spark, t, t, WHOLE, out, report.OUTPUTS[3:])],
+        *report.write_extracts(spark, t, t, replace(YEAR, institute="CIXX"), out, report.OUTPUTS[:3]),
+        *report.write_extracts(spark, t, t, replace(WHOLE, institute="CIXX"), out, report.OUTPUTS[3:]),
     ]
     rows = report.control_report(spark, written, report.account_currency_of(t))
     return rows.select("output", F.col("size_bytes").cast("bigint").alias("size_bytes"), "n_lines", "n_distinct")
 
 
-@query(
-    "c_freshness",
-    f"""select case when secs > 1800 then 'DELAY' when value is null then ' Critical Data Broken status'
+ORACLES_FRESH = f"""select case when secs > 1800 then 'DELAY' when value is null then ' Critical Data Broken status'
  when epoch(timestamp '{o.NOW}') - epoch(strptime(datum_time, '%m/%d/%Y %H:%M:%S')) > 1800 then 'DELAY' else 'OK' end as status, value as lag
  from (select *, cast(substring(value, 1, 3) as int) * 86400 + cast(substring(value, 5, 2) as int) * 3600
- + cast(substring(value, 8, 2) as int) * 60 + cast(substring(value, 11, 2) as int) as secs from replica_stat where name = 'apply lag')""",
-)
+ + cast(substring(value, 8, 2) as int) * 60 + cast(substring(value, 11, 2) as int) as secs from replica_stat where name = 'apply lag')"""
+
+
+@query("c_freshness", ORACLES_FRESH)
 def c_freshness(t):
     return control.freshness_status(t["replica_stat"], moment(datetime.strptime(o.NOW, "%Y-%m-%d %H:%M:%S")))
 
 
+@query(
+    "c_report",
+    f"""select * from (values ('Generation Date', '16/01/2024 12:00:00', null), ('Data of', '01/07/1999', null), ('Timezone', 'UTC', null), ('Country', 'Ivory Coast', null),
+ ('Duration of treatment', '1:01:01', null), ('Compliance Package Version', '1.0', null)) v(name, value, status)
+ union all select 'Synchronization DBREF', concat('16/01/2024 12:00:00;', coalesce(lag, '')), status from ({ORACLES_FRESH})""",
+)
+def c_report(t):
+    now = datetime.strptime(o.NOW, "%Y-%m-%d %H:%M:%S")
+    header = report.run_header(t["network"].sparkSession, YEAR, "Ivory Coast", "1.0", 3661.0, now)
+    lag = report.lag_row(t["replica_stat"], moment(now))
+    at = F.date_format("checked_at", "dd/MM/yyyy HH:mm:ss")
+    rows = lag.select(F.col("control").alias("name"), F.concat(at, F.lit(";"), F.coalesce("lag", F.lit(""))).alias("value"), "status")
+    return header.select("name", "value", F.lit(None).cast("string").alias("status")).unionByName(rows)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wallets that moved money in January 2000."""
     t = demo_tables(prepare(spark), sf_dir)

@@ -38,7 +38,7 @@ select h.transfer_id, h.transfer_date, h.service_type, h.transfer_subtype, h.tra
  cast(l.l_extendedprice as decimal(20,2)) as amt, h.o_custkey,
  case when l.l_linenumber = 1 then case o_orderkey % 6
    when 0 then '1#a#b#1IRTV3#GB#GBP#g#h#i#j#k#WorldRemit#z' when 1 then '01#a#b#c#fr#eur#x' when 2 then '2#a#b#c#FR#EUR#'
-   when 3 then '1#a#b#c##' when 4 then 'abc' end end as txn_mode
+   when 3 then '1#a#b#c##' when 4 then 'abc' else '1#a#b#c#bf#na#x' end end as txn_mode
 from lineitem l join txn_header h on h.o_orderkey = l.l_orderkey""",
     "txn_item": """
 select transfer_id, transfer_date, service_type, transfer_subtype, transfer_status,
@@ -102,9 +102,24 @@ select 'S' || cast(s_suppkey as string) as user_id, 'CHANNEL' as user_type, '22S
  case when s_suppkey % 3 = 0 then '1PFRBF' || cast(s_suppkey as string) when s_suppkey % 3 = 1 then 'X-' || cast(s_suppkey as string) end as external_code
 from supplier""",
     "tag_rule": """
-select * from (values (1,'P2P',cast(null as string),cast(null as string),'SHOP','P2P_SHOP'),(2,'P2P',null,null,null,'P2P_ANY'),
- (2,'P2P',null,null,null,'P2P_ANY2'),(3,'CASHIN','CASHIN',null,null,'CASHIN_STD'),(4,'RC',null,null,'MFS','RC_CASHOUT'))
- as t(tag_id,transfer_subtype,service_type,sender_designation,receiver_designation,tag_name)""",
+select * from (values
+ (1,'P2P','P2P_SHOP',cast(null as string),cast(null as string),cast(null as string),'SHOP',cast(null as string),cast(null as string),cast(null as string),cast(null as string),cast(null as string),cast(null as string),cast(null as string)),
+ (2,'P2P','P2P_ANY',null,null,null,null,null,null,null,null,null,null,null),
+ (2,'P2P','P2P_ANY2',null,null,null,null,null,null,null,null,null,null,null),
+ (3,'CASHIN','CASHIN_WRONG','P2P',null,null,null,null,null,null,null,null,null,null),
+ (4,'CASHIN','CASHIN_OTHER',null,'C1',null,null,null,null,null,null,null,null,null),
+ (5,'CASHIN','CASHIN_REF',null,null,null,null,null,null,null,null,null,'AB',null),
+ (6,'CASHIN','CASHIN_XY',null,null,null,null,null,null,null,null,null,null,'XY'),
+ (7,'CASHIN','CASHIN_STD','CASHIN',null,null,null,null,null,null,null,null,null,null),
+ (8,'RC','RC_CASHOUT',null,null,null,'MFS',null,null,null,null,null,null,null),
+ (9,'RC','RC_FROM_SHOP',null,null,'SHOP',null,null,null,null,null,null,null,null),
+ (10,'RC','RC_ZONE',null,null,null,null,null,null,null,'ZONE 3',null,null,null),
+ (11,'RC','RC_REGION',null,null,null,null,null,null,'REGION 4',null,null,null,null),
+ (12,'RC','RC_AWAY',null,null,null,null,'DOM1','DOM2',null,null,'ZONE 5',null,null),
+ (13,'ROLLBACK','BACK_TO_1',null,null,null,null,'DOM2',null,null,null,null,null,null),
+ (14,'ROLLBACK','BACK_ANY',null,null,null,null,null,'DOM2',null,null,null,null,null))
+ as t(tag_id,transfer_subtype,tag_name,service_type,sender_user_id,sender_designation,receiver_designation,sender_domain_code,receiver_domain_code,
+ sender_state,receiver_state,not_receiver_state,reference_number2,source_txn_id)""",
     "receiver_kyc": """
 select transfer_id as p2p_transfer_id, transfer_id as agcout_transfer_id,
  case when o_custkey % 2 = 0 then 'First' || cast(o_custkey as string) || ' with a long given "name" that runs on and on, well past the field' else 'First' || cast(o_custkey as string) end as rec_fname,

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lag_seconds
@@ -19,36 +23,72 @@ def line_count(lines: DataFrame) -> DataFrame:
     return lines.agg(F.count(F.lit(1)).alias("n_lines"))
 
 
+def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per run of rows of one segment: its first and last key, changes inside, rows."""
+    names = ("file", "start", "first", "last", "inside", "n")
+    done, now = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        file, start, key = (batch.column(c) for c in ("file", "start", "key"))
+
+        def differs(c: pa.Array) -> np.ndarray:
+            return pc.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False).astype(bool)
+
+        moved, changed = differs(file) | differs(start), differs(key)
+        cuts = [0, *(np.flatnonzero(moved) + 1).tolist(), batch.num_rows]
+        for x, y in zip(cuts[:-1], cuts[1:]):
+            own = (file[x].as_py(), start[x].as_py())
+            first, last = key[x].as_py(), key[y - 1].as_py()
+            inside = int(changed[x : y - 1].sum())
+            if now and now[:2] == own:
+                now = (*own, now[2], last, now[4] + inside + (now[3] != first), now[5] + y - x)
+            else:
+                done += [now] if now else []
+                now = (*own, first, last, inside, y - x)
+    done += [now] if now else []
+    kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64())
+    columns = list(zip(*done)) if done else [[]] * len(names)
+    yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], list(names))
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    """Lines and runs over rows (file, start, key) that lie in order within segments (file, start), segments in order.
+
+    Segments are summed up where they are read, one row each; only those rows are put in order and joined by their edges. A
+    blank key at the start is no change.
+    """
+    parts = rows.mapInArrow(_edges, "file string, start long, first string, last string, inside long, n long")
+    carried = F.coalesce(F.lag("last").over(Window.orderBy("file", "start")), F.lit(""))
+    joined = parts.withColumn("edge", F.when(carried != F.col("first"), 1).otherwise(0))
+    return joined.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_lines"), F.coalesce(F.sum(F.col("inside") + F.col("edge")), F.lit(0)).alias("n_runs"))
+
+
+def _blank_free(key: Column) -> Column:
+    return F.coalesce(F.trim(key), F.lit(""))
+
+
 def run_count(lines: DataFrame, key: Column, order: list[str]) -> DataFrame:
     """How often the blank-stripped ``key`` changes from one line to the next in sort order; a blank start is no change.
 
     Equal neighbours never count, so equal (order, key) rows are folded first, which also folds hot keys. The distinct rows
-    are range-partitioned; changes are counted within each range, and the ranges, one summary row each, are then joined
-    up through the key that the previous range ended with.
+    are sorted in ranges, which are summed up in place.
     """
-    folded = lines.select(*order, F.coalesce(F.trim(key), F.lit("")).alias("_run_key")).distinct()
-    ranged = folded.repartitionByRange(*[F.asc_nulls_last(c) for c in [*order, "_run_key"]])
-    placed = ranged.withColumn("_range", F.spark_partition_id())
-    in_order = Window.partitionBy("_range").orderBy(*[F.asc_nulls_last(c) for c in [*order, "_run_key"]])
-    seen = placed.withColumns({"_before": F.lag("_run_key").over(in_order), "_at": F.row_number().over(in_order)})
-    summary = seen.groupBy("_range").agg(
-        F.sum(F.when(F.col("_before") != F.col("_run_key"), 1).otherwise(0)).alias("_inside"),
-        F.max(F.when(F.col("_at") == 1, F.col("_run_key"))).alias("_first"),
-        F.max_by("_run_key", "_at").alias("_last"),
-    )
-    # At most one row per shuffle partition.
-    carried = F.coalesce(F.lag("_last").over(Window.orderBy("_range")), F.lit(""))
-    joined = summary.withColumn("_edge", F.when(carried != F.col("_first"), 1).otherwise(0))
-    return joined.agg(F.coalesce(F.sum(F.col("_inside") + F.col("_edge")), F.lit(0)).alias("n_runs"))
+    folded = lines.select(*order, _blank_free(key).alias("key")).distinct()
+    by = [F.asc_nulls_last(c) for c in [*order, "key"]]
+    ranged = folded.repartitionByRange(*by).sortWithinPartitions(*by)
+    return _counted(ranged.select(F.lit("").alias("file"), F.spark_partition_id().cast("long").alias("start"), "key")).select("n_runs")
+
 
+def control_counts(written: DataFrame, key: Column | None) -> DataFrame:
+    """Lines, and lines counted once per run of ``key`` (all of them where the output has no key), in the order of the files.
 
-def control_counts(lines: DataFrame, key: Column | None) -> DataFrame:
-    """Lines, and lines counted once per run of ``key`` (all of them where the output has no key)."""
-    total = line_count(lines)
+    ``written``: lines as ``read_lines`` gives them; files are in order by name and read piece by piece, without a shuffle.
+    """
     if key is None:
-        return total.withColumn("n_distinct", F.col("n_lines"))
-    # A second one-row aggregate, attached as a scalar.
-    return total.withColumn("n_distinct", run_count(lines, key, ["line"]).scalar())
+        return line_count(written).withColumn("n_distinct", F.col("n_lines"))
+    where = [F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("start")]
+    return _counted(written.select(*where, _blank_free(key).alias("key"))).select("n_lines", F.col("n_runs").alias("n_distinct"))
 
 
 def freshness_status(stats: DataFrame, now: Column) -> DataFrame:

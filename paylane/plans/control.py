@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timezone
 from typing import NamedTuple
 
@@ -9,12 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import duration_text
+from ..functions.dates import moment
 from ..operators.control import control_counts, freshness_status
 from ..operators.geography import account_currency
+from ..operators.ledger import late_items
 from ..operators.lookups import env_value
 from ..params import RunParams
-from ..session import prepare, work_dir
-from ..sources import load_tables, read_lines, stage, write_lines
+from ..session import prepare, scratch, staged
+from ..sources import load_tables, read_lines, write_lines
 from ..sources.lines import file_totals
 from . import account, country, customer, transaction
 
@@ -145,28 +148,42 @@ def report_lines(header: DataFrame, lag: DataFrame, rows: DataFrame) -> DataFram
     return text.orderBy("section", "place").select("line")
 
 
-def extracts(spark: SparkSession, main: dict[str, DataFrame], accounts: dict[str, DataFrame], p: RunParams):
-    """The seven extracts in report order: name, a builder of the lines with their sort columns, sort columns.
+class Extract(NamedTuple):
+    """How an output is made: its lines with their sort columns, those columns, and whether very many lines may be equal."""
 
-    The ledger is written once to shared storage, when the first transaction extract is built, and read by both.
-    """
-    shared = {}
-
-    def ledger_once() -> DataFrame:
-        if "ledger" not in shared:
-            shared["ledger"] = stage(transaction.ledger(main, p), work_dir(spark, "ledger"))
-        return shared["ledger"]
-
-    builders = (
-        (lambda: country.extract_country(main), country.ORDER),
-        (lambda: customer.extract_customer(main, p), customer.ORDER),
-        (lambda: customer.extract_customer_ext(main, p), customer.ORDER),
-        (lambda: account.extract_account(accounts, p), account.ORDER),
-        (lambda: account.extract_account_ext(accounts, p), account.ORDER),
-        (lambda: transaction.extract_transaction(main, p, ledger_once()), transaction.ORDER),
-        (lambda: transaction.extract_transaction_ext(main, p, ledger_once()), transaction.ORDER),
+    name: str
+    build: Callable[[], DataFrame]
+    order: list[str]
+    fold_copies: bool = False
+
+
+def extracts(main: dict[str, DataFrame], accounts: dict[str, DataFrame], p: RunParams) -> list[Extract]:
+    """The seven extracts in report order. What two of them start from is stored once, when the first is built."""
+    shared: dict[str, DataFrame] = {}
+
+    def once(name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in shared:
+            shared[name] = staged(build(), name)
+        return shared[name]
+
+    def late() -> DataFrame:
+        if "late" not in shared:
+            shared["late"] = late_items(main, p.start, p.end)
+        return shared["late"]
+
+    users = lambda: once("users", lambda: customer.run_users(main, p))
+    wallets = lambda: once("wallets", lambda: account.moving_wallets(accounts, p))
+    base = lambda: once("tagged", lambda: transaction.ledger(main, p))
+    makers = (
+        Extract(OUTPUTS[0], lambda: country.extract_country(main), country.ORDER),
+        Extract(OUTPUTS[1], lambda: customer.extract_customer(main, p, users(), late()), customer.ORDER),
+        Extract(OUTPUTS[2], lambda: customer.extract_customer_ext(main, p, users(), late()), customer.ORDER),
+        Extract(OUTPUTS[3], lambda: account.extract_account(accounts, p, wallets()), account.ORDER),
+        Extract(OUTPUTS[4], lambda: account.extract_account_ext(accounts, p, wallets()), account.ORDER),
+        Extract(OUTPUTS[5], lambda: transaction.extract_transaction(main, p, base()), transaction.ORDER, fold_copies=True),
+        Extract(OUTPUTS[6], lambda: transaction.extract_transaction_ext(main, p, base()), transaction.ORDER, fold_copies=True),
     )
-    return [(name, build, order) for name, (build, order) in zip(OUTPUTS, builders)]
+    return list(makers)
 
 
 def write_extracts(
@@ -177,24 +194,54 @@ def write_extracts(
     out_dir: str,
     only: tuple[str, ...] = OUTPUTS,
 ) -> list[Written]:
-    """Write the outputs named in ``only``, each to its own folder."""
+    """Write the outputs named in ``only``, each to its own folder. What was stored on the way is removed at the end."""
     written = []
-    for name, build, order in extracts(spark, main, accounts, p):
-        if name not in only:
-            continue
-        began = datetime.now(timezone.utc)
-        path = f"{out_dir.rstrip('/')}/{p.label}/{name}"
-        write_lines(build(), path, order, fold_copies=name.startswith("in_transaction"))
-        written.append(Written(name, path, (datetime.now(timezone.utc) - began).total_seconds()))
+    with scratch(spark, "extracts"):
+        for x in extracts(main, accounts, p):
+            if x.name not in only:
+                continue
+            began = datetime.now(timezone.utc)
+            path = f"{out_dir.rstrip('/')}/{p.label}/{x.name}"
+            write_lines(x.build(), path, x.order, fold_copies=x.fold_copies)
+            written.append(Written(x.name, path, (datetime.now(timezone.utc) - began).total_seconds()))
     return written
 
 
-def run(spark: SparkSession, config: dict, p: RunParams, out_dir: str) -> tuple[list[Written], DataFrame]:
-    """Write all extracts of a run below ``out_dir`` and return them with their control report. Any failure is raised."""
+class Run(NamedTuple):
+    """What a run leaves: the outputs, and its report as rows and as written text lines."""
+
+    written: list[Written]
+    header: DataFrame
+    lag: DataFrame
+    rows: DataFrame
+    report_path: str
+
+
+def run(
+    spark: SparkSession,
+    config: dict,
+    p: RunParams,
+    out_dir: str,
+    affiliate: str = "",
+    version: str = "",
+    now: datetime | None = None,
+) -> Run:
+    """Write all extracts of a run below ``out_dir``, and its control report beside them. Any failure is raised.
+
+    ``now`` (UTC) dates the report and is what the replica's freshness is judged by; the clock's time if it is not given.
+    """
     prepare(spark)
+    began = datetime.now(timezone.utc)
     main, accounts = load_tables(spark, config, "main"), load_tables(spark, config, "accounts")
     written = write_extracts(spark, main, accounts, p, out_dir)
-    return written, control_report(spark, written, account_currency_of(main))
+    seconds = (datetime.now(timezone.utc) - began).total_seconds()
+    now = now or datetime.now(timezone.utc).replace(tzinfo=None)
+    header = run_header(spark, p, affiliate, version, seconds, now)
+    lag = lag_row(main["replica_stat"], moment(now))
+    rows = control_report(spark, written, account_currency_of(main))
+    path = f"{out_dir.rstrip('/')}/{p.label}/control_report"
+    report_lines(header, lag, rows).coalesce(1).write.mode("overwrite").text(path)  # a few dozen lines
+    return Run(written, header, lag, rows, path)
 
 
 def account_currency_of(t: dict[str, DataFrame]) -> Column:

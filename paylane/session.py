@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +21,7 @@ RUNTIME_CONF = {
 }
 
 SHARED_DIR = "spark.checkpoint.dir"
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -48,8 +52,20 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder name below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh folder name below the shared folder, or below the scratch folder of the moment."""
+    return f"{_SCRATCH.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[str]:
+    """Everything that is stored inside the block is removed at its end, so nothing read from it may be used afterwards."""
+    path = work_dir(spark, name)
+    before = _SCRATCH.set(path)
+    try:
+        yield path
+    finally:
+        _SCRATCH.reset(before)
+        remove_dir(spark, path)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

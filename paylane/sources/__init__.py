@@ -1,6 +1,6 @@
 """Reading the ledger tables, writing and reading back the line files."""
 
-from .lines import file_manifest, read_lines, stage, write_lines
+from .lines import file_manifest, numbered, read_lines, write_lines
 from .tables import SCHEMAS, conform, load_tables
 
-__all__ = ["SCHEMAS", "conform", "file_manifest", "load_tables", "read_lines", "stage", "write_lines"]
+__all__ = ["SCHEMAS", "conform", "file_manifest", "load_tables", "numbered", "read_lines", "write_lines"]

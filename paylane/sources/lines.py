@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import staged
+
 # Copies of one line that are kept together while sorting.
 COPIES_PER_SLICE = 10_000
 # Lines per part file, so that a file can be digested within one task.
@@ -16,30 +18,50 @@ def total_order(df: DataFrame, order: list[str]) -> DataFrame:
     return df.orderBy(*[F.asc_nulls_last(c) for c in order], F.asc_nulls_last("line"))
 
 
-def _sliced_copies(df: DataFrame, order: list[str]) -> DataFrame:
+def numbered(df: DataFrame, order: list[str]) -> DataFrame:
+    """Lines with their place in total order, from 0.
+
+    Sorted ranges are stored, each row with its place in its range; places of ranges are sums over one row per range.
+    """
+    at = F.monotonically_increasing_id()  # range number and place in it
+    ranges = staged(total_order(df, order).withColumns({"_range": F.shiftright(at, 33), "_at": at.bitwiseAND(F.lit((1 << 33) - 1))}), "sorted")
+    sizes = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return ranges.join(starts, "_range").withColumn("position", F.col("_start") + F.col("_at")).drop("_range", "_at", "_start")
+
+
+def _sliced_copies(df: DataFrame, order: list[str], copies_per_slice: int) -> DataFrame:
     """One row per distinct line and slice of its copies, so that no group of copies is sorted in one task."""
     counted = df.groupBy(*order, "line").agg(F.count(F.lit(1)).alias("copies"))
-    slices = F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / COPIES_PER_SLICE))
-    size = F.least(F.lit(COPIES_PER_SLICE), F.col("copies") - F.col("slice") * COPIES_PER_SLICE)
+    slices = F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / copies_per_slice))
+    size = F.least(F.lit(copies_per_slice), F.col("copies") - F.col("slice") * copies_per_slice)
     return counted.withColumn("slice", F.explode(slices)).withColumn("size", size.cast("int"))
 
 
-def write_lines(df: DataFrame, path: str, order: list[str], fold_copies: bool = False) -> None:
+def write_lines(
+    df: DataFrame,
+    path: str,
+    order: list[str],
+    fold_copies: bool = False,
+    lines_per_file: int = LINES_PER_FILE,
+    copies_per_slice: int = COPIES_PER_SLICE,
+) -> None:
     """Write ``line`` in total order: part files in name order, lines in order within each.
 
     ``fold_copies`` is for extracts that can hold very many equal lines: they travel to the sort as counts,
     spread over the range, and are written out again in full.
     """
     if not fold_copies:
-        _write_text(total_order(df, order).select("line"), path)
+        _write_text(total_order(df, order).select("line"), path, lines_per_file)
         return
-    ordered = _sliced_copies(df, order).orderBy(*[F.asc_nulls_last(c) for c in [*order, "line", "slice"]])
+    ordered = _sliced_copies(df, order, copies_per_slice).orderBy(*[F.asc_nulls_last(c) for c in [*order, "line", "slice"]])
     again = F.explode(F.array_repeat(F.col("line"), F.col("size"))).alias("line")
-    _write_text(ordered.select(again), path)
+    _write_text(ordered.select(again), path, lines_per_file)
 
 
-def _write_text(lines: DataFrame, path: str) -> None:
-    lines.write.mode("overwrite").option("maxRecordsPerFile", LINES_PER_FILE).text(path)
+def _write_text(lines: DataFrame, path: str, lines_per_file: int) -> None:
+    lines.write.mode("overwrite").option("maxRecordsPerFile", lines_per_file).text(path)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -64,9 +86,3 @@ def file_totals(spark: SparkSession, path: str) -> DataFrame:
     """Size and last modification of one output, from the file listing alone."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
     return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("size_bytes"), F.max("modificationTime").alias("finished_at"))
-
-
-def stage(df: DataFrame, path: str) -> DataFrame:
-    """Write once to shared storage and read back, for plans that use an expensive input twice."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)

@@ -15,6 +15,7 @@ from paylane.operators.layout import Field, fixed_width, quoted_pipe, reserved
 from paylane.params import RunParams
 from paylane.plans import account, country, customer, transaction
 from paylane.plans import control as report
+from paylane.session import shared_dir
 from paylane.sources import file_manifest, load_tables, read_lines, write_lines
 
 SF = "/root/testdata/sf0.001"
@@ -192,7 +193,15 @@ def test_full_run(spark, tmp_path, demo):
     base = tmp_path / "lake"
     for name in demo:
         demo[name].write.parquet(str(base / name))
-    written, rows = report.run(spark, {"main": {"base": str(base), "empty_text": False}}, JANUARY, str(tmp_path / "out"))
+    config = {"main": {"base": str(base), "empty_text": False}}
+    shared = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(shared.glob("*"))
+    done = report.run(spark, config, JANUARY, str(tmp_path / "out"), "Here", "1.0", datetime(2020, 1, 1))
+    assert set(shared.glob("*")) == before  # what was stored on the way is gone
+    written, rows = done.written, done.rows
+    printed = parts(done.report_path)
+    assert printed[0] == "Generation Date;01/01/2020 00:00:00" and printed[3] == "Country;Here"
+    assert [x.split(";")[0] for x in printed[-7:]] == list(report.OUTPUTS)
     assert [w.name for w in written] == list(report.OUTPUTS)
     for w, r in zip(written, rows.orderBy("position").collect()):
         lines = parts(w.path)

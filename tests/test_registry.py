@@ -10,8 +10,7 @@ import check  # noqa: E402
 from paylane.demo import registry  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-# Rows alone are compared for this one: it lists files that the run itself has just written.
-WITHOUT_SQL = {"s_manifest"}
+WITHOUT_SQL: set[str] = set()
 
 
 @pytest.fixture(scope="module")
