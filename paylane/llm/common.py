@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -46,11 +48,15 @@ def slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, rows)
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words between ASCII white space (blank, \\t to \\r) of all texts in a row, and their number per text; null has none."""
+    trimmed = pc.ascii_trim_whitespace(pc.fill_null(texts.cast(pa.string()), ""))
+    split = pc.ascii_split_whitespace(trimmed)
+    words, counts = split.flatten(), pc.list_value_length(split).to_numpy().astype(np.int64)
+    empty = pc.binary_length(trimmed).to_numpy() == 0  # split gives an empty text as one empty word
+    return words.filter(pc.greater(pc.binary_length(words), 0)), np.where(empty, 0, counts)
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """Texts of an Arrow column, null as empty."""
     return [x or "" for x in column.to_pylist()]
-
-
-def broadcast_if_small(table: DataFrame, rows: int = 1_000_000) -> DataFrame:
-    """A stored table of narrow rows, to be broadcast if it is counted to have no more than ``rows``; else joined by shuffle."""
-    return F.broadcast(table) if table.count() <= rows else table

@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paylane.llm.common import broadcast_if_small
-from paylane.session import staged
+from paylane.session import broadcast_if_small, staged
 
 WINDOW, SHINGLE = 10, 3
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

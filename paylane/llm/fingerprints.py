@@ -15,14 +15,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paylane.llm.common import arrival, texts_of
+from paylane.llm.common import arrival, split_words, texts_of
 from paylane.session import staged
 
 SAMPLES, BITS, SEED = 64, 16, 42
@@ -41,11 +40,11 @@ def draws(samples: int, bits: int, seed: int) -> tuple[np.ndarray, np.ndarray, n
 
 def terms(texts: list[str], bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text number, bucket, weight) of all terms, in order of text and bucket."""
-    split = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
-    seen = split.flatten().dictionary_encode()
+    flat, counts = split_words(pa.array(texts, pa.string()))
+    seen = flat.dictionary_encode()
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, seen.dictionary.to_numpy(zero_copy_only=False)), np.uint64, len(seen.dictionary))
     words = hashes[seen.indices.to_numpy()]
-    text = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy())
+    text = np.repeat(np.arange(len(texts)), counts)
     pairs = words[:-1] * np.uint64(0x9E3779B97F4A7C15) + words[1:]
     pairs = (pairs ^ (pairs >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     together = text[:-1] == text[1:]

@@ -106,7 +106,8 @@ def estimated_prior(p: np.ndarray, u: np.ndarray) -> float:
     return float(np.clip(np.median(above_u / above_p), 0.05, 0.95))
 
 
-def fit_matrices(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 600, decay: float = 1e-4) -> Model:
+def fit_matrices(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 600, decay: float | None = None) -> Model:
+    decay = 0.5 / len(positive) if decay is None else decay  # few examples hold the weights down
     centre, scale = np.median(positive, axis=0), positive.std(axis=0) + 1e-3
     blank = Model(centre, scale, np.zeros(2 * positive.shape[1] + 1), 0.5)
     p, u = blank.inputs(positive), blank.inputs(unlabelled)

@@ -12,6 +12,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from paylane.llm.common import split_words
+
 WORD_BPE = "word_bpe_49k.json"
 # Entries of the memo; a full memo is emptied. About 0.2 kB each.
 MEMO = 700_000
@@ -115,13 +117,11 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and the number of ids of each text. A null text has none."""
-        texts = pc.fill_null(texts.cast(pa.string()), "")
         if not self.wordwise:
-            got = [e.ids for e in self.tokenizer.encode_batch(texts.to_pylist(), add_special_tokens=False)]
+            given = texts.to_pylist()
+            got = [e.ids for e in self.tokenizer.encode_batch([x or "" for x in given], add_special_tokens=False)]
             return np.array([i for ids in got for i in ids], np.int32), np.array([len(x) for x in got], np.int64)
-        split = pc.ascii_split_whitespace(texts)
-        words = split.flatten()
-        n_words = pc.list_value_length(split).to_numpy().astype(np.int64)
+        words, n_words = split_words(texts)
         parts, sizes = [], []
         for at in range(0, max(len(words), 1), WORDS_AT_ONCE):
             ids, size = self._ids(words.slice(at, WORDS_AT_ONCE))
