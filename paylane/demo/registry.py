@@ -23,6 +23,8 @@ from .tables import base_table, demo_tables
 Tables = dict[str, DataFrame]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+# Queries of the payments tables alone, as functions of those tables.
+BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {}
 
 
 def _day(text: str) -> datetime:
@@ -41,6 +43,7 @@ def query(name: str, sql: str | None):
     """Register a function of the payments tables, with its DuckDB counterpart if it has one."""
 
     def register(build: Callable[[Tables], DataFrame]):
+        BUILDERS[name] = build
         QUERIES[name] = lambda spark, sf_dir: build(demo_tables(prepare(spark), sf_dir))
         if sql is not None:
             ORACLES[name] = o.sql(sql)

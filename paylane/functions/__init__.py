@@ -32,6 +32,7 @@ from .text import (
     first_field_is_one,
     has_structured_code,
     pad,
+    part_k,
     text_head,
     text_tail,
     tidy_upper,

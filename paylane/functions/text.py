@@ -59,10 +59,14 @@ def decode(c: Column, *pairs, default: Column) -> Column:
     return result.otherwise(default)
 
 
+def part_k(parts: Column, k: int) -> Column:
+    """The ``k``-th part, counted from 1, if a further part follows it and it is not empty."""
+    return F.when(F.size(parts) > k, blank_to_null(F.get(parts, F.lit(k - 1))))
+
+
 def field_k(c: Column, k: int) -> Column:
     """The ``k``-th ``#`` field, counted from 1, if a further ``#`` closes it and it is not empty."""
-    closed = F.size(F.split(c, "#")) > k
-    return F.when(closed, blank_to_null(F.split_part(c, F.lit("#"), F.lit(k))))
+    return part_k(F.split(c, "#"), k)
 
 
 def first_field_is_one(c: Column) -> Column:

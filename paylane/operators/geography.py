@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import field_k, first_field_is_one
+from ..functions import first_field_is_one, part_k
 from .lookups import last_two, lookup, with_params
 
 # Designations of transfers that cross a border, and the partner whose GB origin is not reported.
@@ -15,10 +15,10 @@ HIDDEN_ORIGIN = {4: "1IRTV3", 12: "WORLDREMIT", 5: "GB"}
 COUNTRY_FIELD, CURRENCY_FIELD = 5, 6
 
 
-def _hidden_origin(mode: Column) -> Column:
+def _hidden_origin(parts: Column) -> Column:
     test = F.lit(True)
     for k, value in HIDDEN_ORIGIN.items():
-        part = field_k(mode, k)
+        part = part_k(parts, k)
         test = test & ((F.upper(part) if k == 12 else part) == value)
     return F.coalesce(test, F.lit(False))
 
@@ -38,9 +38,12 @@ def derive_geography(ledger: DataFrame, t: dict[str, DataFrame]) -> DataFrame:
     The transfer's own ``#`` fields decide when the *other* side is a subscriber and the first field is 1; else the
     designation of the side itself does.
     """
-    mode = F.col("txn_mode")
+    mode, parts = F.col("txn_mode"), F.col("_mode_parts")
     x = with_params(ledger, t).withColumns(
-        {f"_{side}_coded": last_two(F.col(f"{side}_designation")) for side in ("sender", "receiver")}
+        {
+            **{f"_{side}_coded": last_two(F.col(f"{side}_designation")) for side in ("sender", "receiver")},
+            "_mode_parts": F.split("txn_mode", "#"),  # split once for all fields asked for below
+        }
     )
     for side in ("sender", "receiver"):
         x = lookup(x, t["country"], {f"_{side}_coded": "country_iso"}, {"currency_iso": f"_{side}_coded_currency"}, unique=True)
@@ -51,10 +54,10 @@ def derive_geography(ledger: DataFrame, t: dict[str, DataFrame]) -> DataFrame:
         # The lookup may only be touched for a designation that carries a code.
         coded_currency = F.when(designation.startswith(direction), F.col(f"_{side}_coded_currency"))
         remote = F.coalesce((F.col(f"{other}_known_type") == "SUBSCRIBER") & first_field_is_one(mode), F.lit(False))
-        country = F.coalesce(F.upper(field_k(mode, COUNTRY_FIELD)), home)
-        currency = F.coalesce(F.upper(field_k(mode, CURRENCY_FIELD)), F.col("local_currency"))
+        country = F.coalesce(F.upper(part_k(parts, COUNTRY_FIELD)), home)
+        currency = F.coalesce(F.upper(part_k(parts, CURRENCY_FIELD)), F.col("local_currency"))
         if side == "sender":
-            shown = ~_hidden_origin(mode)
+            shown = ~_hidden_origin(parts)
             country, currency = F.when(shown, country), F.when(shown, currency)
         out[f"{side}_country"] = F.when(remote, country).otherwise(
             _by_designation(designation, direction, F.col(f"_{side}_coded"), home)
@@ -62,7 +65,7 @@ def derive_geography(ledger: DataFrame, t: dict[str, DataFrame]) -> DataFrame:
         out[f"{side}_currency"] = F.when(remote, currency).otherwise(
             _by_designation(designation, direction, coded_currency, F.col("local_currency"))
         )
-    helpers = [f"_{side}_{c}" for side in ("sender", "receiver") for c in ("coded", "coded_currency")]
+    helpers = [*(f"_{side}_{c}" for side in ("sender", "receiver") for c in ("coded", "coded_currency")), "_mode_parts"]
     return x.select(F.expr(f"* except ({', '.join(helpers)})"), *[c.alias(name) for name, c in out.items()])
 
 
