@@ -6,15 +6,15 @@ each chosen token it has. Two documents of similarity s share s / threshold chil
 above the threshold keep meeting while others part. Small nodes are compared exhaustively, larger ones branch again. One tree
 finds a pair with some probability; as many independent trees are grown as the target recall needs.
 
-Nodes that stay large hold documents that are truly alike, or share very common tokens. They are joined in two steps that
-never list the pairs of a group: members against a few hubs and nearest members, then, once components are known, members of
-different components against each other, in blocks spread over tasks. All links are confirmed on the full sets.
+A node passes on a spanning forest of its likely pairs, never the pairs themselves; documents connected through such forests
+are a family, and every likely pair lies within one. Links are then found on the full sets, family by family: within blocks of
+a bounded number of members, each with a few hubs of the family, and then, where a family of several blocks is not one
+component yet, between its blocks. Again only spanning forests of the links go on, so output grows with members.
 """
 
 from __future__ import annotations
 
 import math
-from collections import OrderedDict
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,11 +24,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylane.llm.common import broadcast_if_small
+from paylane.llm.common import split_words
 from paylane.llm.components import components
-from paylane.session import staged
+from paylane.session import broadcast_if_small, staged
 
-COORDINATES, SMALL, EXTRA_LEVELS, HUBS, BLOCK = 128, 128, 2, 6, 2048
+COORDINATES, SMALL, BASE, EXTRA_LEVELS, TIGHT, HUBS, BLOCK, COLUMNS = 128, 128, 4, 2, 0.9, 24, 512, 4096
 LAST = (1 << 63) - 1
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -44,11 +44,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
     """Sorted distinct hashes of each text's ``width``-word shingles; fewer words are one shingle, no word an empty set."""
-    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
-    seen = split.flatten().dictionary_encode()
+    flat, counts = split_words(texts)
+    seen = pc.ascii_lower(flat).dictionary_encode()
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, seen.dictionary.to_numpy(zero_copy_only=False)), np.uint64, len(seen.dictionary))
     words = hashes[seen.indices.to_numpy()]
-    ends = np.cumsum(pc.list_value_length(split).to_numpy().astype(np.int64))
+    ends = np.cumsum(counts)
     sets, start = [], 0
     for end in ends.tolist():
         own = words[start:end]
@@ -161,190 +161,215 @@ def equal_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return COORDINATES - np.bitwise_count(a[:, None, :] ^ b[None, :, :]).sum(axis=2, dtype=np.int32)
 
 
-def compared(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Pairs of small nodes, from rows sorted by node. Dense nodes give a few pairs per member, and their rows for later."""
-
-    def node_pairs(ids: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
-        same = equal_bits(s, s)
-        np.fill_diagonal(same, -1)
-        i, j = np.nonzero(np.triu(same >= least))
-        if len(i) <= 4 * len(ids):
-            return ids[i], ids[j], False
-        nearest = same.argmax(axis=1)
-        hub = np.full(len(ids), int(ids.argmin()))
-        a, b = np.tile(np.arange(len(ids)), 2), np.concatenate([nearest, hub])
-        good = (a != b) & (same[a, b] >= least)
-        return ids[a[good]], ids[b[good]], True
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            table = batch if held is None else pa.concat_batches([held, batch])
-            held = yield from run(table, False)
-        if held is not None:
-            yield from run(held, True)
-
-    def run(table: pa.RecordBatch, final: bool):
-        node = table.column("node").to_numpy()
-        cuts = np.flatnonzero(node[1:] != node[:-1]) + 1
-        starts = np.r_[0, cuts] if len(node) else cuts
-        ends = np.r_[cuts, len(node)] if len(node) else cuts
-        keep = None
-        if not final and len(starts):  # the last node may go on in the next batch
-            keep = table.slice(int(starts[-1]))
-            starts, ends = starts[:-1], ends[:-1]
-        ids = table.column("id").to_numpy()
-        s = np.stack([table.column("s1").to_numpy(), table.column("s2").to_numpy()], axis=1)
-        a, b, dense = [], [], []
-        several = ends - starts > 1
-        for x, y in zip(starts[several].tolist(), ends[several].tolist()):
-            one, other, is_dense = node_pairs(ids[x:y], s[x:y])
+def roots_of(linked: np.ndarray) -> np.ndarray:
+    """Least index connected to each row of a symmetric matrix of links."""
+    n = len(linked)
+    linked = linked | np.eye(n, dtype=bool)
+    label = np.arange(n)
+    while True:
+        new = np.where(linked, label[None, :], n).min(axis=1)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows of equal keys, one run after another, from batches sorted by them."""
+    held: list[pa.RecordBatch] = []
+    key = None
+    for batch in batches:
+        values = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        changed = np.zeros(max(0, batch.num_rows - 1), bool)
+        for v in values:
+            changed |= v[1:] != v[:-1]
+        cuts = [0, *(np.flatnonzero(changed) + 1).tolist(), batch.num_rows]
+        for x, y in zip(cuts[:-1], cuts[1:]):
+            if y == x:
+                continue
+            own = tuple(v[x] for v in values)
+            if own != key and held:
+                yield pa.concat_batches(held)
+                held = []
+            key = own
+            held.append(batch.slice(x, y - x))
+    if held:
+        yield pa.concat_batches(held)
+
+
+def gathered(pieces: Iterator[tuple[np.ndarray, np.ndarray]], rows: int = 20_000) -> Iterator[pa.RecordBatch]:
+    """Batches (a, b) of many small arrays of edges."""
+    a, b, n = [], [], 0
+    for one, other in pieces:
+        if len(one):
             a.append(one)
             b.append(other)
-            if is_dense:
-                dense.append(np.arange(x, y))
-        if a:
-            a, b = np.concatenate(a), np.concatenate(b)
-            low, high = np.minimum(a, b), np.maximum(a, b)
-            pairs = np.unique(np.stack([low, high], axis=1)[low < high], axis=0)
-            if len(pairs):
-                none = pa.nulls(len(pairs), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy()), none, none, none], ["a", "b", "node", "s1", "s2"])
-        if dense:
-            rows = np.concatenate(dense)
-            arrays = [pa.array(x[rows]) for x in (ids, node, s[:, 0], s[:, 1])]
-            yield pa.RecordBatch.from_arrays([arrays[0], pa.nulls(len(rows), pa.int64()), *arrays[1:]], ["a", "b", "node", "s1", "s2"])
-        return keep
+            n += len(one)
+        if n >= rows:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+            a, b, n = [], [], 0
+    if n:
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
 
-    return work
 
+EDGES = "a long, b long"
 
-COMPARED = "a long, b long, node long, s1 long, s2 long"
 
+def forests(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Spanning forests of the likely pairs of small nodes, from rows sorted by node."""
 
-def crossed(least: int) -> Callable[[pa.Table], pa.Table]:
-    """Pairs of one block: its ``rest`` members with all members of other components."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pieces():
+            for table in runs(batches, ["node"]):
+                if table.num_rows > 1:
+                    ids = table.column("id").to_numpy()
+                    s = np.stack([table.column("s1").to_numpy(), table.column("s2").to_numpy()], axis=1)
+                    root = roots_of(equal_bits(s, s) >= least)
+                    on = root != np.arange(len(root))
+                    yield ids[on], ids[root[on]]
 
-    def work(table: pa.Table) -> pa.Table:
-        ids, comp, rest = (table.column(c).to_numpy() for c in ("id", "comp", "rest"))
-        s = np.stack([table.column("s1").to_numpy(), table.column("s2").to_numpy()], axis=1)
-        out = [np.zeros((0, 2), np.int64)]
-        some, all_rows = np.flatnonzero(rest), np.flatnonzero(~rest)
-        for at in range(0, len(some), 256):
-            mine = some[at : at + 256]
-            i, j = np.nonzero((equal_bits(s[mine], s[all_rows]) >= least) & (comp[mine][:, None] != comp[all_rows][None, :]))
-            out.append(np.stack([ids[mine][i], ids[all_rows][j]], axis=1))
-        pairs = np.unique(np.sort(np.concatenate(out), axis=1), axis=0)
-        return pa.table({"a": pairs[:, 0].copy(), "b": pairs[:, 1].copy()})
+        yield from gathered(pieces())
 
     return work
 
 
-# ---------------------------------------------------------------- confirmation
-
-
-def confirmed(width: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(a, b) of the pairs (a, b, ta, tb) whose full sets reach the threshold."""
+# ---------------------------------------------------------------- links on full sets
+
+
+def linked_sets(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which pairs of sets reach the threshold, as a symmetric matrix: exact intersections by products of 0/1 columns."""
+    n = len(sets)
+    sizes = np.array([len(x) for x in sets])
+    if n == 2:
+        both = np.zeros((2, 2), np.int64)
+        both[0, 1] = both[1, 0] = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
+    else:
+        owner = np.repeat(np.arange(n), sizes)
+        _, column, counts = np.unique(np.concatenate(sets) if n else np.zeros(0), return_inverse=True, return_counts=True)
+        number = np.cumsum(counts > 1) - 1  # shingles of one member meet nothing
+        on = counts[column] > 1
+        owner, column = owner[on], number[column[on]]
+        order = np.argsort(column, kind="stable")
+        owner, column = owner[order], column[order]
+        both = np.zeros((n, n), np.float32)
+        for at in range(0, int(number[-1]) + 1 if len(number) else 0, COLUMNS):
+            x, y = np.searchsorted(column, [at, at + COLUMNS])
+            part = np.zeros((n, COLUMNS), np.float32)
+            part[owner[x:y], column[x:y] - at] = 1
+            both += part @ part.T
+        both = both.astype(np.int64)
+    return (both > 0) & (100 * both >= percent * (sizes[:, None] + sizes[None, :] - both))
+
+
+def linked(width: int, percent: int, keys: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Spanning forests of the links in each group of rows (..., id, text), from rows sorted by the group's keys."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: OrderedDict[int, np.ndarray] = OrderedDict()  # a hub's set is made once per run of its pairs
-        for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-                new = [i for i, x in enumerate(a) if x not in memo and (i == 0 or a[i - 1] != x)]
-                for i, s in zip(new, shingle_sets(batch.column("ta").take(pa.array(new, pa.int64())), width)):
-                    memo[a[i]] = s
-                good = []
-                for x, own in zip(a, shingle_sets(batch.column("tb"), width)):
-                    other = memo[x]
-                    both = len(np.intersect1d(other, own, assume_unique=True))
-                    good.append(both > 0 and 100 * both >= percent * (len(own) + len(other) - both))
-                for x in list(memo)[: max(0, len(memo) - 64)]:
-                    del memo[x]
-                mask = pa.array(good, pa.bool_())
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()).filter(mask), pa.array(b, pa.int64()).filter(mask)], ["a", "b"])
+        def pieces():
+            for table in runs(batches, keys):
+                ids = table.column("id").to_numpy()
+                root = roots_of(linked_sets(shingle_sets(table.column("text"), width), percent))
+                on = root != np.arange(len(root))
+                yield ids[on], ids[root[on]]
+
+        yield from gathered(pieces())
 
     return work
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The stored ``pairs`` (a, b) that are links; texts of their documents only are moved."""
-    wanted = staged(pairs.select(F.col("a").alias("dk")).union(pairs.select(F.col("b").alias("dk"))).distinct(), "near-wanted")
-    texts = docs.select("dk", "text").join(broadcast_if_small(wanted), "dk").dropDuplicates(["dk"])
-    texts = staged(texts, "near-texts")
-    left, right = (texts.select(F.col("dk").alias(k), F.col("text").alias(t)) for k, t in (("a", "ta"), ("b", "tb")))
-    both = pairs.join(right, "b").join(left, "a")
-    return staged(both.select("a", "b", "ta", "tb").mapInArrow(confirmed(width, percent), "a long, b long"), "near-links")
+def within_blocks(members: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Stored forests of the links within blocks. ``members``: (family, size, id), stored; families have two members at least."""
+    many = F.ceil(F.col("size") / BLOCK)
+    placed = members.withColumn("block", F.pmod(F.xxhash64("id"), many))
+    # Hubs are members by a second hash; those of a family of several blocks are in each of them.
+    hub = (many > 1) & (F.pmod(F.xxhash64("id", F.lit(1)), F.col("size")) < HUBS)
+    blocks = F.when(hub, F.sequence(F.lit(0).cast("long"), many - 1)).otherwise(F.array("block"))
+    placed = placed.select("family", "id", F.explode(blocks).alias("block"))
+    return group_links(placed, ["family", "block"], texts, width, percent)
+
+
+def group_links(placed: DataFrame, keys: list[str], texts: DataFrame, width: int, percent: int) -> DataFrame:
+    rows = placed.join(texts, "id").repartition(*keys).sortWithinPartitions(*keys, "id")
+    return staged(rows.mapInArrow(linked(width, percent, keys), EDGES), "near-links")
+
+
+def between_blocks(members: DataFrame, texts: DataFrame, links: DataFrame, width: int, percent: int) -> DataFrame | None:
+    """Stored forests of the links between members of different blocks, for families that are not one component yet.
+
+    Members outside a family's largest component meet all others, in pairs of blocks; None if there is nothing to do.
+    """
+    wide = members.where(F.col("size") > BLOCK)
+    if not wide.limit(1).count():
+        return None
+    labels = components(links).select(F.col("node").alias("id"), F.col("label").alias("comp"))
+    wide = staged(wide.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id")), "near-wide")
+    sizes = wide.groupBy("family", "comp").agg(F.count("*").alias("n"))
+    mixed_families = sizes.groupBy("family").agg(F.sum("n").alias("all"), F.max(F.struct("n", "comp")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
+    half = BLOCK // 2
+    mixed_families = mixed_families.select("family", F.col("main.comp").alias("main"), F.ceil(F.col("all") / half).alias("across"),
+                                           F.ceil((F.col("all") - F.col("main.n")) / half).alias("down"))
+    rows = wide.join(broadcast_if_small(staged(mixed_families, "near-mixed")), "family")
+    own = lambda many: F.pmod(F.xxhash64("id"), F.col(many))
+    others = rows.withColumn("x", own("across")).withColumn("y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("down") - 1)))
+    rest = rows.where("comp <> main").withColumn("y", own("down")).withColumn("x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("across") - 1)))
+    placed = rest.unionByName(others).select("family", "x", "y", "id").distinct()
+    return group_links(placed, ["family", "x", "y"], texts, width, percent)
 
 
 # ---------------------------------------------------------------- the join
 
 
-def candidates(reps: DataFrame, threshold: float, recall: float) -> tuple[DataFrame, DataFrame]:
-    """Stored pairs (a, b) of the trees, and the rows (node, id, s1, s2) of dense and large nodes."""
+def likely_edges(reps: DataFrame, threshold: float, recall: float) -> DataFrame:
+    """Stored edges (a, b) whose components are the families.
+
+    Trees start at BASE levels and go deeper only below large nodes, down to where unrelated documents, which part about
+    eightfold a level, would leave small ones. A large node most of whose members are near its least one is a family as it
+    stands and branches no more; nor does what is left large at the end.
+    """
     total = reps.count()
-    # Unrelated documents part about eightfold a level: this deep, most nodes are small.
-    depth = max(3, math.ceil(math.log(max(total, 1) / SMALL, 8)) if total > SMALL else 3)
-    trees = math.ceil(math.log(1 - recall) / math.log(1 - survival(depth + EXTRA_LEVELS)))
+    deepest = max(BASE, math.ceil(math.log(max(total, 1) / SMALL, 8)) if total > SMALL else 0) + EXTRA_LEVELS
+    trees = math.ceil(math.log(1 - recall) / math.log(1 - survival(deepest)))
     least = agreement(threshold)
-    rows = reps.select("id", "minima").mapInArrow(branched(depth, trees, threshold), NODE_ROWS)
-    pairs, later = [], []
-    for level in range(EXTRA_LEVELS + 1):
-        large = staged(rows.groupBy("node").agg(F.count("*").alias("n")).where(F.col("n") > SMALL).select("node"), "near-large")
+    rows = reps.select("id", "minima").mapInArrow(branched(BASE, trees, threshold), NODE_ROWS)
+    edges = None
+    for level in range(BASE, deepest + 1):
+        hub = F.min(F.struct("id", "s1", "s2")).alias("hub")
+        large = staged(rows.groupBy("node").agg(F.count("*").alias("n"), hub).where(F.col("n") > SMALL), "near-large")
         any_large = large.count() > 0
         large = broadcast_if_small(large)
-        small = rows.join(large, "node", "left_anti") if any_large else rows
-        done = staged(small.repartition("node").sortWithinPartitions("node").mapInArrow(compared(least), COMPARED), "near-compared")
-        pairs.append(done.where("b is not null").select("a", "b"))
-        later.append(done.where("b is null").select("node", F.col("a").alias("id"), "s1", "s2"))
+        small = rows.join(large.select("node"), "node", "left_anti") if any_large else rows
+        done = staged(small.repartition("node").sortWithinPartitions("node", "id").mapInArrow(forests(least), EDGES), "near-forests")
+        edges = done if edges is None else edges.unionByName(done)
         if not any_large:
             break
-        stay = staged(rows.join(large, "node", "left_semi"), "near-branching")
-        if level == EXTRA_LEVELS:
-            later.append(stay)
-            pairs.append(hub_pairs(stay, least))
-        else:
-            again = stay.select("node", "id").join(reps.select("id", "minima"), "id").withColumnRenamed("node", "root")
+        differ = F.bit_count(F.col("s1").bitwiseXOR(F.col("hub.s1"))) + F.bit_count(F.col("s2").bitwiseXOR(F.col("hub.s2")))
+        stay = rows.join(large, "node").select("node", "id", F.col("hub.id").alias("hub"), (differ <= COORDINATES - least).alias("near"))
+        stay = staged(stay, "near-branching")
+        loose = stay.groupBy("node").agg(F.avg(F.col("near").cast("int")).alias("share")).where(F.col("share") < TIGHT).select("node")
+        loose = broadcast_if_small(staged(loose, "near-loose"))
+        tight = stay if level == deepest else stay.join(loose, "node", "left_anti")
+        edges = edges.unionByName(tight.select(F.col("id").alias("a"), F.col("hub").alias("b")))
+        if level < deepest:
+            again = stay.join(loose, "node", "left_semi").select(F.col("node").alias("root"), "id").join(reps.select("id", "minima"), "id")
             rows = again.mapInArrow(branched(1, 1, threshold, "root"), NODE_ROWS)
-    union = lambda parts: parts[0] if len(parts) == 1 else parts[0].unionByName(union(parts[1:]))
-    return staged(union(pairs).distinct(), "near-pairs"), staged(union(later), "near-dense")
-
-
-def hub_pairs(rows: DataFrame, least: int) -> DataFrame:
-    """Members of large nodes with a few hubs of their node each, where the sketches allow a link."""
-    hubs = None
-    for k in range(HUBS):
-        one = rows.groupBy("node").agg(F.min(F.struct(F.xxhash64(F.lit(k), "id"), "id", "s1", "s2")).alias("h"))
-        one = one.select("node", F.col("h.id").alias("hub"), F.col("h.s1").alias("h1"), F.col("h.s2").alias("h2"))
-        hubs = one if hubs is None else hubs.unionByName(one)
-    both = rows.join(broadcast_if_small(staged(hubs.distinct(), "near-hubs")), "node").where("id <> hub")
-    differ = F.bit_count(F.col("s1").bitwiseXOR(F.col("h1"))) + F.bit_count(F.col("s2").bitwiseXOR(F.col("h2")))
-    return both.where(differ <= COORDINATES - least).select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
+    return staged(edges.where("a <> b").distinct(), "near-likely")
 
 
-def remaining_pairs(dense: DataFrame, labels: DataFrame, least: int) -> DataFrame:
-    """Stored pairs of members of one dense node that are in different components so far.
-
-    Members outside the node's largest component are compared with all others, in blocks of about BLOCK times BLOCK.
-    """
-    rows = dense.join(labels.select(F.col("node").alias("id"), F.col("label").alias("comp")), "id", "left")
-    rows = staged(rows.withColumn("comp", F.coalesce("comp", "id")), "near-members")
-    sizes = rows.groupBy("node", "comp").agg(F.count("*").alias("n"))
-    nodes = sizes.groupBy("node").agg(F.sum("n").alias("all"), F.max(F.struct("n", "comp")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
-    nodes = staged(nodes.select("node", F.col("main.comp").alias("main"), F.ceil(F.col("all") / BLOCK).alias("across"),
-                                F.ceil((F.col("all") - F.col("main.n")) / BLOCK).alias("down")), "near-mixed")
-    rows = rows.join(broadcast_if_small(nodes), "node")
-    own = lambda many: F.pmod(F.xxhash64("id"), F.col(many))
-    # As one of the others a row is in its column block of every row block, as one of the rest the other way round.
-    others = rows.withColumn("rest", F.lit(False)).withColumn("x", own("across")).withColumn("y", F.explode(F.sequence(F.lit(0), F.col("down") - 1)))
-    rest = rows.where("comp <> main").withColumn("rest", F.lit(True)).withColumn("y", own("down")).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("across") - 1)))
-    blocks = rest.unionByName(others).select("node", "x", "y", "id", "comp", "rest", "s1", "s2")
-    return staged(blocks.groupBy("node", "x", "y").applyInArrow(crossed(least), "a long, b long").distinct(), "near-rest")
+def links_of(reps: DataFrame, docs: DataFrame, width: int, percent: int, recall: float) -> DataFrame:
+    """Edges (a, b) whose components are the groups of near duplicates among ``reps`` (id, minima); ``docs``: (dk, text)."""
+    families = components(likely_edges(reps, percent / 100, recall))
+    families = staged(families.select(F.col("label").alias("family"), F.col("node").alias("id")), "near-families")
+    sizes = families.groupBy("family").agg(F.count("*").alias("size"))
+    members = staged(families.join(sizes, "family"), "near-members")
+    texts = docs.select(F.col("dk").alias("id"), "text").join(broadcast_if_small(members.select("id")), "id", "left_semi")
+    texts = staged(texts.dropDuplicates(["id"]), "near-texts")
+    links = within_blocks(members, texts, width, percent)
+    more = between_blocks(members, texts, links, width, percent)
+    return links if more is None else links.unionByName(more)
 
 
 def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, recall: float = 0.999, seed: int = 13) -> DataFrame:
-    """(ord, dk, n_shingles, component_id): the group of each distinct (doc_id, text) of ``docs``.
+    """(ord, dk, n_shingles, component_id, head): the group of each row of ``docs``; one (doc_id, text) of each group is its head.
 
     Texts are linked if their sets of ``width``-word shingles (A-Z lower-cased, words between ASCII white space) have
     100 * intersection >= percent * union; a group is everything linked through others, its id the least doc_id in it (null
@@ -358,17 +383,34 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, recall: floa
     classes = filled.groupBy("c1", "c2").agg(F.min(F.struct("ord", "dk", "minima")).alias("r"))
     classes = staged(classes.select("c1", "c2", F.col("r.ord").alias("least"), F.col("r.dk").alias("id"), F.col("r.minima").alias("minima")), "near-classes")
 
-    pairs, dense = candidates(classes, percent / 100, recall)
-    links = confirm(pairs, keyed, width, percent)
-    if dense.limit(1).count():
-        more = remaining_pairs(dense, components(links), agreement(percent / 100))
-        more = staged(more.join(pairs, ["a", "b"], "left_anti"), "near-new-pairs")
-        links = links.unionByName(confirm(more, keyed, width, percent))
-    labels = components(links)
+    labels = components(links_of(classes, keyed, width, percent, recall))
     ids = classes.select("id", "least", "c1", "c2").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
     ids = staged(ids, "near-labels")
-    least = ids.groupBy("label").agg(F.min("least").alias("component"))
-    named = ids.join(least, "label").select("c1", "c2", "component")
+    heads = ids.groupBy("label").agg(F.min(F.struct("least", "id")).alias("head"))
+    named = ids.join(heads, "label").select("c1", "c2", "head")
     out = own.select("ord", "dk", "n_shingles", "c1", "c2").join(named, ["c1", "c2"], "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("ord"))
-    return out.select("ord", "dk", "n_shingles", F.when(component != LAST, component).alias("component_id"))
+    alone = F.struct(F.col("ord").alias("least"), F.col("dk").alias("id"))
+    out = out.withColumn("head", F.when(F.col("n_shingles") > 0, F.col("head")).otherwise(alone))
+    component = F.when(F.col("head.least") != LAST, F.col("head.least"))
+    is_head = (F.col("ord") == F.col("head.least")) & (F.col("dk") == F.col("head.id"))
+    return out.select("ord", "dk", "n_shingles", component.alias("component_id"), is_head.alias("head"))
+
+
+def keep_one(docs: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs`` but for all of each group save one: that of the least doc_id (of equal ids, the least hash).
+
+    Of rows repeated with id and text one stays.
+    """
+    groups = staged(near_groups(docs, **how), "near-groups")
+    names = docs.columns
+    rows = docs.select(F.struct("*").alias("row"))
+    key = [F.coalesce(F.col("row.doc_id").cast("long"), F.lit(LAST)).alias("ord"), F.xxhash64("row.doc_id", "row.text").alias("dk")]
+    rows = rows.select("row", *key)
+    gone = staged(groups.where("not head").select("ord", "dk").distinct(), "near-gone")
+    kept = rows.join(broadcast_if_small(gone), ["ord", "dk"], "left_anti")
+    repeated = staged(groups.where("head").groupBy("ord", "dk").count().where("count > 1").select("ord", "dk"), "near-repeated")
+    if repeated.limit(1).count():
+        small = broadcast_if_small(repeated)
+        once = kept.join(small, ["ord", "dk"], "left_semi").dropDuplicates(["ord", "dk"])
+        kept = kept.join(small, ["ord", "dk"], "left_anti").unionByName(once)
+    return kept.select(*(F.col(f"row.`{c}`").alias(c) for c in names))
