@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from paylane.llm import decontamination, fingerprints, language, line_dedup, near_dedup, packing, quality, rollups, sharding, token_files
 from paylane.llm import oracle
 from paylane.llm.common import held_out, read_table
@@ -113,6 +114,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_language": op9_language,
     "op10_token_files": op10_token_files,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
