@@ -1,7 +1,7 @@
 """Language of texts by a linear-chain conditional random field over words.
 
 Every word of a text is labelled with a language. Its potentials come from hashed features (the word itself as a lexicon
-entry, prefixes, suffixes, letter n-grams), neighbouring labels from learned transitions, which let a text switch language
+entry, prefixes, suffixes, byte n-grams), neighbouring labels from learned transitions, which let a text switch language
 but rarely. Forward-backward gives each word's marginals; the language of a text is that with the largest share of its
 words. A chain holds at most CHAIN words: longer texts are several chains.
 """
@@ -15,32 +15,59 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paylane.llm.common import held_out
+from paylane.llm.common import held_out, split_words
 
-BUCKETS, CHAIN, MEMO, ROWS = 1 << 17, 128, 300_000, 1000
+BUCKETS, CHAIN, MEMO, ROWS = 1 << 17, 128, 400_000, 1000
 # Bounds of the training sample: documents a language, and chains of CHAIN words a document.
 DOCUMENTS, CHAINS = 300, 3
 UNDETERMINED = "und"
 
 
-def features(word: str) -> list[int]:
-    word = word.lower()
-    framed = f"<{word}>"
-    keys = {f"w{word}", *(f"p{word[:k]}" for k in (1, 2, 3)), *(f"s{word[-k:]}" for k in (1, 2, 3))}
-    keys.update(framed[i : i + 2] for i in range(len(framed) - 1))
-    keys.update(framed[i : i + 3] for i in range(len(framed) - 2))
-    return [zlib.crc32(k.encode("utf-8", "surrogatepass")) % BUCKETS for k in keys]
+def has_letter(word: str) -> bool:
+    return word.isalpha() or any(map(str.isalpha, word))
+
+
+def bucket(x: np.ndarray, kind: int) -> np.ndarray:
+    """Bucket of a feature value of some kind."""
+    h = (x.astype(np.uint64) + np.uint64(kind << 40)) * np.uint64(0x9E3779B97F4A7C15)
+    return ((h ^ (h >> np.uint64(31))) >> np.uint64(20)).astype(np.int64) % BUCKETS
+
+
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features of all words, on the bytes of their lower-case forms: per word its lexicon entry, prefixes and suffixes of one
+    to three bytes (words x 7); per byte of all framed words the two- and three-byte sequences that begin there (bytes x 2),
+    and where each word's bytes begin. BUCKETS stands for none; words without a letter have none at all."""
+    framed = [b"<%s>" % w.lower().encode("utf-8", "surrogatepass") for w in words]
+    sizes = np.fromiter(map(len, framed), np.int64, len(framed))
+    data = np.frombuffer(b"".join(framed) + b"\0\0\0", np.uint8).astype(np.int64)
+    ends = np.cumsum(sizes)
+    starts, n = ends - sizes, int(ends[-1]) if len(ends) else 0
+    letters = np.fromiter(map(has_letter, words), bool, len(words))
+    left = np.repeat(ends, sizes) - np.arange(n)  # bytes from here to the word's end
+    two = data[:n] | data[1 : n + 1] << 8
+    three = two | data[2 : n + 2] << 16
+    on = np.repeat(letters, sizes)
+    grams = np.stack([np.where(on & (left > k), bucket(v, k + 1), BUCKETS) for k, v in ((1, two), (2, three))], axis=1)
+    whole = np.empty((len(words), 7), np.int64)
+    whole[:, 0] = bucket(np.fromiter(map(zlib.crc32, framed), np.int64, len(framed)), 4)
+    first = last = np.zeros(len(words), np.int64)
+    for k in (1, 2, 3):
+        first, last = first | data[np.minimum(starts + k, n)] << 8 * k, last | data[np.maximum(ends - 1 - k, 0)] << 8 * k
+        whole[:, k] = np.where(sizes - 2 >= k, bucket(first, 4 + k), BUCKETS)
+        whole[:, 3 + k] = np.where(sizes - 2 >= k, bucket(last, 7 + k), BUCKETS)
+    whole[~letters] = BUCKETS
+    return whole, grams, starts
 
 
 @dataclass(frozen=True, eq=False)
 class Field:
     """Learned potentials: of features (BUCKETS x labels), of transitions and of first labels."""
 
+    key: int
     labels: tuple[str, ...]
     weights: np.ndarray
     moves: np.ndarray
@@ -48,12 +75,12 @@ class Field:
 
     def emissions(self, words: list[str]) -> np.ndarray:
         """Potentials of words; words without a letter have none."""
-        sets = [features(w) if any(map(str.isalpha, w)) else [] for w in words]
-        sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-        flat = np.fromiter((i for s in sets for i in s), np.int64, int(sizes.sum()))
-        sums = np.vstack([np.zeros((1, len(self.labels)), np.float32), np.cumsum(self.weights[flat], axis=0, dtype=np.float64)])
-        ends = np.cumsum(sizes)
-        return np.clip(sums[ends] - sums[ends - sizes], -20, 20).astype(np.float32)
+        whole, grams, starts = features(words)
+        weights = np.vstack([self.weights, np.zeros((1, len(self.labels)), np.float32)])
+        sums = sum(weights[whole[:, k]] for k in range(whole.shape[1]))
+        for k in range(2):
+            sums = sums + np.add.reduceat(weights[grams[:, k]], starts, axis=0)
+        return np.clip(sums, -20, 20)
 
 
 def marginals(emissions: np.ndarray, moves: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
@@ -127,14 +154,16 @@ def train(samples: list[tuple[str, str]], steps: int = 40, rate: float = 0.15, d
         return None
     cut = spliced(chains, rng)
     vocabulary = {w: i for i, w in enumerate(dict.fromkeys(w for words, _ in cut for w in words))}
-    sets = [features(w) if any(map(str.isalpha, w)) else [] for w in vocabulary]
-    sizes = np.array([len(s) for s in sets])
-    flat, owner = np.array([i for s in sets for i in s], np.int64), np.repeat(np.arange(len(sets)), sizes)
+    whole, grams, first = features(list(vocabulary))
+    n_words = len(vocabulary)
+    flat = np.concatenate([whole.ravel(), grams.ravel()])
+    owner = np.concatenate([np.repeat(np.arange(n_words), 7), np.repeat(np.repeat(np.arange(n_words), np.diff(np.r_[first, len(grams)])), 2)])
+    flat, owner = flat[flat < BUCKETS], owner[flat < BUCKETS]
     ids, lengths, _ = chains_of(np.array([vocabulary[w] for words, _ in cut for w in words]), np.array([len(w) for w, _ in cut]))
     gold, _, _ = chains_of(np.array([y for _, ys in cut for y in ys]), np.array([len(w) for w, _ in cut]))
     k, inside = len(labels), ids >= 0
     places, gold_in = ids[inside], gold[inside]
-    seen = np.bincount(places * k + gold_in, minlength=len(sets) * k).reshape(-1, k)
+    seen = np.bincount(places * k + gold_in, minlength=n_words * k).reshape(-1, k)
     pairs = inside[:, 1:]
     gold_moves = np.bincount((gold[:, :-1] * k + gold[:, 1:])[pairs], minlength=k * k).reshape(k, k)
     gold_starts = np.bincount(gold[:, 0], minlength=k)
@@ -143,9 +172,9 @@ def train(samples: list[tuple[str, str]], steps: int = 40, rate: float = 0.15, d
     theta, m, v = np.zeros(size + k * k + k), np.zeros(size + k * k + k), np.zeros(size + k * k + k)
     for step in range(1, steps + 1):
         weights, moves, starts = theta[:size].reshape(-1, k), theta[size : size + k * k].reshape(k, k), theta[size + k * k :]
-        word = np.stack([np.bincount(owner, weights[flat, y], len(sets)) for y in range(k)], axis=1)
+        word = np.stack([np.bincount(owner, weights[flat, y], n_words) for y in range(k)], axis=1)
         p, moved, _ = marginals(np.where(inside[..., None], word[np.maximum(ids, 0)], 0.0), moves, starts, lengths)
-        expected = np.stack([np.bincount(places, p[inside][:, y], len(sets)) for y in range(k)], axis=1)
+        expected = np.stack([np.bincount(places, p[inside][:, y], n_words) for y in range(k)], axis=1)
         over = (expected - seen) / total
         g = np.concatenate([
             np.stack([np.bincount(flat, over[owner, y], BUCKETS) for y in range(k)], axis=1).ravel() + decay * theta[:size],
@@ -153,7 +182,8 @@ def train(samples: list[tuple[str, str]], steps: int = 40, rate: float = 0.15, d
         ])
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         theta -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-7)
-    return Field(labels, theta[:size].reshape(-1, k).astype(np.float32), theta[size : size + k * k].reshape(k, k), theta[size + k * k :])
+    key = zlib.crc32(repr(labels).encode(), zlib.crc32(theta.tobytes()))
+    return Field(key, labels, theta[:size].reshape(-1, k).astype(np.float32), theta[size : size + k * k].reshape(k, k), theta[size + k * k :])
 
 
 def fit(docs: DataFrame, documents: int = DOCUMENTS, seed: int = 9) -> Field | None:
@@ -201,16 +231,15 @@ class Labeller:
             new = [distinct[i] for i in missing.tolist()]
             first = len(self.slot)
             self.rows[first : first + len(new)] = self.field.emissions(new)
-            self.letters[first : first + len(new)] = [any(map(str.isalpha, w)) for w in new]
+            self.letters[first : first + len(new)] = [has_letter(w) for w in new]
             self.slot.update(zip(new, range(first, first + len(new))))
             found[missing] = np.arange(first, first + len(new))
         return found[seen.indices.to_numpy()]
 
     def shares(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Expected share of each label among the words with letters, and the number of such words."""
-        split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.string()), ""))
-        slots = self.slots(split.flatten())
-        ids, lengths, text = chains_of(slots, pc.list_value_length(split).to_numpy().astype(np.int64))
+        words, n_words = split_words(texts)
+        ids, lengths, text = chains_of(self.slots(words), n_words)
         sums, counts = np.zeros((len(texts), len(self.field.labels))), np.zeros(len(texts))
         order = np.argsort(lengths, kind="stable")
         for part in np.array_split(order, max(1, len(order) // 1024)):  # chains of like lengths together
@@ -226,6 +255,16 @@ class Labeller:
         return sums / np.maximum(counts, 1)[:, None], counts
 
 
+_LATEST: list[Labeller] = []
+
+
+def labeller(field: Field) -> Labeller:
+    """The labeller of this field that an earlier task left in this Python worker, or a new one."""
+    if not _LATEST or _LATEST[0].field.key != field.key:
+        _LATEST[:] = [Labeller(field)]
+    return _LATEST[0]
+
+
 def predict(docs: DataFrame, field: Field | None) -> DataFrame:
     """(doc_id, lang_pred, score): the label with the largest share of a text's words, and that share.
 
@@ -233,7 +272,7 @@ def predict(docs: DataFrame, field: Field | None) -> DataFrame:
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = None if field is None else Labeller(field)
+        own = None if field is None else labeller(field)
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
