@@ -293,7 +293,8 @@ PEOPLE = ("wallet_number", "user_type", "msisdn", "user_id", "status", "designat
 )
 def j_parties(t):
     both = parties.with_categories(parties.resolve_parties(t, "user"), t)
-    other = parties.resolve_parties(t, "party").select("wallet_number", F.col("network_code").alias("network_party_first"))
+    # A wallet number held twice has one network here, so distinct rows match each wallet once.
+    other = parties.resolve_parties(t, "party").select("wallet_number", F.col("network_code").alias("network_party_first")).distinct()
     return both.join(other, "wallet_number").select(
         *PEOPLE,
         F.col("network_code").alias("network_user_first"),

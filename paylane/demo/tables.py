@@ -39,7 +39,8 @@ select h.transfer_id, h.transfer_date, h.service_type, h.transfer_subtype, h.tra
  case when l.l_linenumber = 1 then case o_orderkey % 6
    when 0 then '1#a#b#1IRTV3#GB#GBP#g#h#i#j#k#WorldRemit#z' when 1 then '01#a#b#c#fr#eur#x' when 2 then '2#a#b#c#FR#EUR#'
    when 3 then '1#a#b#c##' when 4 then 'abc' else '1#a#b#c#bf#na#x' end end as txn_mode
-from lineitem l join txn_header h on h.o_orderkey = l.l_orderkey""",
+from lineitem l join txn_header h on h.o_orderkey = l.l_orderkey
+ join (select * from (values (0),(1),(1)) as v(twice)) c on c.twice = case when l.l_linenumber = 1 and l.l_orderkey % 40 = 0 then 1 else 0 end""",
     "txn_item": """
 select transfer_id, transfer_date, service_type, transfer_subtype, transfer_status,
  case when side = 'P' then case l_linenumber when 1 then 'MP' when 2 then 'CP' else 'SCP' end
@@ -65,6 +66,11 @@ select case when c_custkey % 10 = 9 then '02' else '01' end || '000' || cast(100
  'G' || cast(c_custkey % 3 as string) as user_grade, cast(c_acctbal * 100 as decimal(20,2)) as balance
 from customer
 union all
+select case when c_custkey % 10 = 9 then '02' else '01' end || '000' || cast(100000 + c_custkey as string) || '000000000',
+ 'C' || cast(c_custkey as string), 'SUBSCRIBER', '22C' || cast(c_custkey as string), 'Y', 'N',
+ {ts} '1997-01-01 00:00:00', {ts} '1998-01-01 00:00:00', 'M1', '11', 'G0', cast(c_acctbal * 100 as decimal(20,2))
+from customer where c_custkey % 29 = 5
+union all
 select '03000' || cast(100000 + s_suppkey as string) || '000000000', 'S' || cast(s_suppkey as string),
  case when s_suppkey % 20 = 0 then 'OPERATOR' else 'CHANNEL' end, '22S' || cast(s_suppkey as string),
  case when s_suppkey % 13 = 0 then 'N' else 'Y' end, 'Y',
