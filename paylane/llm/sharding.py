@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paylane.llm.common import arrival, offsets
+from paylane.session import broadcast_if_small, staged
 
 BUCKET_BYTES = 32 << 20
 
@@ -58,7 +59,8 @@ def read_shards(spark: SparkSession, path: str, shards: int) -> DataFrame:
     counts = rows.groupBy("bucket").agg(F.count("*").alias("n"))
     total = counts.agg(F.sum("n").alias("total")).first()["total"] or 0
     least, more = divmod(total, shards)
-    cut = rows.join(offsets(counts, "bucket", "n"), "bucket").withColumn("at", F.col("base") + F.col("place"))
+    bases = broadcast_if_small(staged(offsets(counts, "bucket", "n"), "bucket-bases"))  # one row per bucket
+    cut = rows.join(bases, "bucket").withColumn("at", F.col("base") + F.col("place"))
     # The first ``more`` shards have one row more than ``least``.
     large = more * (least + 1)
     shard = F.when(F.col("at") < large, F.expr(f"at div {least + 1}")).otherwise(F.expr(f"{more} + (at - {large}) div {max(least, 1)}"))
