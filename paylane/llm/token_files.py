@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from paylane.llm.common import arrival, offsets
 from paylane.llm.tokens import WORD_BPE, encoder
+from paylane.session import broadcast_if_small, staged
 
 # Writer settings: row groups of 32 MB and pages of 256 kB bound what a selective read must load; ids lie in a dictionary
 # while it is small and in delta blocks beyond it (version 2 pages); page indexes are written by default.
@@ -77,6 +78,7 @@ def read_tokens(spark: SparkSession, path: str, where: Column | None = None, col
     """
     files = spark.read.parquet(path)
     bases = offsets(files.groupBy("part").agg(F.sum("n_tokens").alias("n")), "part", "n")
+    bases = broadcast_if_small(staged(bases, "token-bases"))  # one row per file part; the ids need not be shuffled
     rows = files if where is None else files.where(where)
     return rows.join(bases, "part").select("doc_id", (F.col("base") + F.col("start_in_part")).alias("start"), "n_tokens", *columns)
 
