@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paylane.llm.common import arrival, split_words, texts_of
+from paylane.llm.common import arrival, split_words, texts_of, tidy
 from paylane.session import staged
 
 SAMPLES, BITS, SEED = 64, 16, 42
@@ -153,7 +153,7 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", arrival().alias("arrived"))
     rows = rows.repartitionByRange("doc_id", "arrived").sortWithinPartitions("doc_id", "arrived").drop("arrived")
     schema = f"part int, doc_id long, {DIGEST}, first_text string, last_text string"
-    done = staged(rows.mapInArrow(in_order, schema), "fingerprints")
+    done = staged(rows.mapInArrow(tidy(in_order), schema), "fingerprints")
 
     ends = done.where("last_text is not null")
     parts = ends.select("part")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paylane.llm.common import held_out, split_words
+from paylane.llm.common import held_out, split_words, tidy
 
 BUCKETS, CHAIN, MEMO, ROWS = 1 << 17, 128, 400_000, 1000
 # Bounds of the training sample: documents a language, and chains of CHAIN words a document.
@@ -287,4 +287,4 @@ def predict(docs: DataFrame, field: Field | None) -> DataFrame:
 
     rows = docs.select("doc_id", "text")
     schema = T.StructType([rows.schema["doc_id"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return rows.mapInArrow(work, schema)
+    return rows.mapInArrow(tidy(work), schema)

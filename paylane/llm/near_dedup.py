@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylane.llm.common import split_words
+from paylane.llm.common import split_words, tidy
 from paylane.llm.components import components
 from paylane.session import broadcast_if_small, staged
 
@@ -290,7 +290,7 @@ def within_blocks(members: DataFrame, texts: DataFrame, width: int, percent: int
 
 def group_links(placed: DataFrame, keys: list[str], texts: DataFrame, width: int, percent: int) -> DataFrame:
     rows = placed.join(texts, "id").repartition(*keys).sortWithinPartitions(*keys, "id")
-    return staged(rows.mapInArrow(linked(width, percent, keys), EDGES), "near-links")
+    return staged(rows.mapInArrow(tidy(linked(width, percent, keys)), EDGES), "near-links")
 
 
 def between_blocks(members: DataFrame, texts: DataFrame, links: DataFrame, width: int, percent: int) -> DataFrame | None:
@@ -330,7 +330,7 @@ def likely_edges(reps: DataFrame, threshold: float, recall: float) -> DataFrame:
     deepest = max(BASE, math.ceil(math.log(max(total, 1) / SMALL, 8)) if total > SMALL else 0) + EXTRA_LEVELS
     trees = math.ceil(math.log(1 - recall) / math.log(1 - survival(deepest)))
     least = agreement(threshold)
-    rows = reps.select("id", "minima").mapInArrow(branched(BASE, trees, threshold), NODE_ROWS)
+    rows = reps.select("id", "minima").mapInArrow(tidy(branched(BASE, trees, threshold)), NODE_ROWS)
     edges = None
     for level in range(BASE, deepest + 1):
         hub = F.min(F.struct("id", "s1", "s2")).alias("hub")
@@ -338,7 +338,7 @@ def likely_edges(reps: DataFrame, threshold: float, recall: float) -> DataFrame:
         any_large = large.count() > 0
         large = broadcast_if_small(large)
         small = rows.join(large.select("node"), "node", "left_anti") if any_large else rows
-        done = staged(small.repartition("node").sortWithinPartitions("node", "id").mapInArrow(forests(least), EDGES), "near-forests")
+        done = staged(small.repartition("node").sortWithinPartitions("node", "id").mapInArrow(tidy(forests(least)), EDGES), "near-forests")
         edges = done if edges is None else edges.unionByName(done)
         if not any_large:
             break
@@ -351,7 +351,7 @@ def likely_edges(reps: DataFrame, threshold: float, recall: float) -> DataFrame:
         edges = edges.unionByName(tight.select(F.col("id").alias("a"), F.col("hub").alias("b")))
         if level < deepest:
             again = stay.join(loose, "node", "left_semi").select(F.col("node").alias("root"), "id").join(reps.select("id", "minima"), "id")
-            rows = again.mapInArrow(branched(1, 1, threshold, "root"), NODE_ROWS)
+            rows = again.mapInArrow(tidy(branched(1, 1, threshold, "root")), NODE_ROWS)
     return staged(edges.where("a <> b").distinct(), "near-likely")
 
 
@@ -378,7 +378,7 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, recall: floa
     """
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("ord"), F.xxhash64("doc_id", "text").alias("dk"), "text")
     schema = "ord long, dk long, n_shingles long, c1 long, c2 long, minima binary"
-    own = staged(keyed.mapInArrow(signature_rows(width, seed), schema), "near-signatures")
+    own = staged(keyed.mapInArrow(tidy(signature_rows(width, seed)), schema), "near-signatures")
     filled = own.where("n_shingles > 0")
     classes = filled.groupBy("c1", "c2").agg(F.min(F.struct("ord", "dk", "minima")).alias("r"))
     classes = staged(classes.select("c1", "c2", F.col("r.ord").alias("least"), F.col("r.dk").alias("id"), F.col("r.minima").alias("minima")), "near-classes")

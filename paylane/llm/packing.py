@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paylane.llm.common import tidy
 from paylane.llm.token_files import crc_of
 from paylane.llm.tokens import WORD_BPE, encoder
 from paylane.session import staged
@@ -59,7 +60,7 @@ def pieces(docs: DataFrame, most: int = 2048, end: int = 0, tokenizer: str = WOR
     Only documents longer than ``most`` are cut. ``uid`` tells repeated rows apart. The pieces are written once.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return staged(rows.mapInArrow(piece_rows(tokenizer, end, most), PIECES), "pieces")
+    return staged(rows.mapInArrow(tidy(piece_rows(tokenizer, end, most)), PIECES), "pieces")
 
 
 # ---------------------------------------------------------------- one pool, in one task

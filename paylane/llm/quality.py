@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paylane.llm.common import held_out, slices, texts_of
+from paylane.llm.common import held_out, slices, texts_of, tidy
 
 # Bounds of the training sample; ids are taken in the order of a seeded hash.
 POSITIVES, UNLABELLED = 4000, 8000
@@ -149,7 +149,7 @@ def statistics_of(rows: DataFrame, columns: list[str]) -> DataFrame:
 
     given = rows.select(*columns, "text")
     schema = T.StructType([*(given.schema[c] for c in columns), T.StructField("x", T.ArrayType(T.DoubleType()))])
-    return given.mapInArrow(work, schema)
+    return given.mapInArrow(tidy(work), schema)
 
 
 def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED, seed: int = 5) -> Model | None:
@@ -179,4 +179,4 @@ def score(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) ->
 
     rows, at = docs.select(F.struct("*").alias("row")), docs.columns.index("text")
     schema = T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
-    return rows.mapInArrow(work, schema)
+    return rows.mapInArrow(tidy(work), schema)

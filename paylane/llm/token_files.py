@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paylane.llm.common import arrival, offsets
+from paylane.llm.common import arrival, offsets, tidy
 from paylane.llm.tokens import WORD_BPE, encoder
 from paylane.session import broadcast_if_small, staged
 
@@ -67,7 +67,7 @@ def write_tokens(
     long, fields = T.LongType(), T.StructField
     schema = T.StructType([rows.schema["doc_id"], rows.schema["meta"], fields("part", T.IntegerType()), fields("start_in_part", long),
                            fields("n_tokens", long), fields("ids", T.ArrayType(T.IntegerType()))])
-    rows.mapInArrow(encode_rows(tokenizer, end), schema).write.options(**options).parquet(path)
+    rows.mapInArrow(tidy(encode_rows(tokenizer, end)), schema).write.options(**options).parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str, where: Column | None = None, columns: Sequence[str] = ("ids",)) -> DataFrame:
@@ -95,4 +95,4 @@ def checksums(tokens: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     rows = tokens.select(*columns, "ids")
     schema = T.StructType([*(rows.schema[c] for c in columns), T.StructField("ids_crc32", T.LongType())])
-    return rows.mapInArrow(sums, schema)
+    return rows.mapInArrow(tidy(sums), schema)

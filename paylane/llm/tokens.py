@@ -16,8 +16,8 @@ from paylane.llm.common import split_words
 
 WORD_BPE = "word_bpe_49k.json"
 # Entries of the memo; a full memo is emptied. About 0.2 kB each.
-MEMO = 700_000
-WORDS_AT_ONCE = 1_000_000
+MEMO = 250_000
+WORDS_AT_ONCE = 500_000
 
 # The text steps of tokenizer files whose ids depend on each white-space separated word alone.
 WORDWISE = {
@@ -86,10 +86,11 @@ class Encoder:
         self.model = self.tokenizer.model
         self.clear()
 
-    def clear(self) -> None:
+    def clear(self, least: int = 0) -> None:
         self.slot: dict[str, int] = {}
         self.arena, self.used = np.zeros(1 << 20, np.int32), 0
-        self.first, self.size = np.zeros(self.memo, np.int64), np.zeros(self.memo, np.int64)
+        room = max(self.memo, least)
+        self.first, self.size = np.zeros(room, np.int64), np.zeros(room, np.int64)
 
     def part(self, text: str) -> list[int]:
         """Ids of lower-case letters or of marks."""
@@ -134,8 +135,8 @@ class Encoder:
     def _ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         seen = words.dictionary_encode()
         distinct = seen.dictionary
-        if len(self.slot) + len(distinct) > self.memo:
-            self.clear()
+        if len(self.slot) + len(distinct) > len(self.first):
+            self.clear(len(distinct))
         slots = np.fromiter(map(self.slot.get, as_list(distinct), repeat(-1)), np.int64, len(distinct))
         missing = np.flatnonzero(slots < 0)
         if len(missing):
