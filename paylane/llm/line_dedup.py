@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from paylane.session import broadcast_if_small, staged
 
-MIN_CHARS, BLOCK = 20, 32
+MIN_CHARS, BLOCK = 1, 32
 LAST = (1 << 63) - 1
 
 
@@ -98,10 +98,12 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, block: int = BLOC
     line_key = [F.xxhash64("t").alias("h"), F.hash("t").alias("g")]
     table = staged(lines.select("ord", "dk", "no", *line_key, half_keys().alias("halves")), "lines")
 
-    halves = table.select("h", F.explode("halves").alias("k"))
-    near_half = shared(halves, "k").select("h").distinct()
-    firsts = table.groupBy("h", "g").agg(F.min(F.struct("ord", "dk", "no")).alias("first"), F.count("*").alias("copies"))
+    # Copies of a line are counted before halves are spread, so that a hot short line is one row there.
+    firsts = table.groupBy("h", "g").agg(
+        F.min(F.struct("ord", "dk", "no")).alias("first"), F.count("*").alias("copies"), F.first("halves").alias("halves")
+    )
     firsts = staged(firsts, "line-firsts")
+    near_half = shared(firsts.select("h", F.explode("halves").alias("k")), "k").select("h").distinct()
     texts = lines.select(line_key[0], "t", "n").join(broadcast_if_small(staged(near_half, "line-candidates")), "h").dropDuplicates(["h"])
     cands = staged(texts.join(firsts.groupBy("h").agg(F.min("first").alias("first")), "h"), "line-texts")
     near = near_lines(cands, block).withColumn("near", F.lit(True))
@@ -117,7 +119,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, block: int = BLOCK)
     """``docs`` with repeated lines left out of ``text``, and ``n_lines`` and ``n_dropped`` beside its columns.
 
     A line is left out if an earlier line of the corpus, of this or another document, is within one edit of it (outer blanks
-    aside). Lines shorter than ``min_chars`` characters are too short to tell and stay. A null text stays null, with no
+    aside). All lines count but those without a character; a caller may leave out lines under ``min_chars``. A null text stays null, with no
     lines; a text all of whose lines go becomes empty. Repeated rows (same id and text) count as one occurrence and get
     the same result. Other columns pass through, but for input columns named n_lines and n_dropped, which are replaced.
     """

@@ -85,3 +85,19 @@ def test_plan_has_no_python(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     plan = dedup_lines(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_short_lines(docs_of):
+    """Repeats and one-edit variants of lines of every length go; lines without a character stay."""
+    short = ["Les.", "And ornd.", "Of, edti oner.", "x", "yz", "abc", "nineteen characters"]
+    rows = [(0, "\n".join(short)), (1, "\n".join(["", *short, " "])), (2, "Les\nAnd ormd.\n  x \nq\nLess.\nLos\nall its own")]
+    rows += [(10 + n, "abcdefghijklmnopqrstuvw"[:n] + "\n" + "ABCDEFGHIJKLMNOPQRSTUVW"[:n]) for n in range(2, 24, 2)]
+    found = got(docs_of(rows))
+    assert found == expected(rows, least=1)
+    assert found[1][1] != rows[1][1] and "Les." not in found[1][1]
+
+
+def test_hot_short_line(docs_of):
+    rows = [(k, f"}}\n{BASE[:15]}{k * 7919}") for k in range(50)]
+    found = {d: text for d, text, _, _ in got(docs_of(rows))}
+    assert found[0].startswith("}") and not any(found[k].startswith("}") for k in range(1, 50))
