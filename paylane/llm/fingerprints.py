@@ -1,17 +1,17 @@
 """Document fingerprints by improved consistent weighted sampling.
 
-A document is a vector of weighted terms: its white-space separated words, alone and in adjacent pairs, hashed to
-2**BITS buckets, weighted by how often they occur. Sample k gives each term r ~ Gamma(2, 1), c ~ Gamma(2, 1) and b ~
-Uniform(0, 1); with t = floor(ln w / r + b) the term with the least ln c - r (t - b) - r is drawn, and (term, t) is the
-sample. Two documents draw the same sample with the probability of their generalised Jaccard similarity, the sum of the
-smaller weights over the sum of the larger. A fingerprint keeps 16 hashed bits of each sample.
+A document is a vector of weighted terms: its white-space separated words, alone and in adjacent pairs, as 64-bit hashes,
+weighted by how often they occur. Sample k gives each term r ~ Gamma(2, 1), c ~ Gamma(2, 1) and b ~ Uniform(0, 1), all
+hashed from term and k, so that no two terms share them; with t = floor(ln w / r + b) the term with the least
+ln c - r (t - b) - r is drawn, and (term, t) is the sample. Two documents draw the same sample with the probability of
+their generalised Jaccard similarity, the sum of the smaller weights over the sum of the larger. A fingerprint keeps 16
+hashed bits of each sample.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,27 +19,54 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from paylane.llm.common import arrival, split_words, texts_of, tidy
 from paylane.session import staged
 
-SAMPLES, BITS, SEED = 64, 16, 42
-PAIRS_AT_ONCE = 16_384
-
-
-@lru_cache(maxsize=1)
-def draws(samples: int, bits: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """r, 1/r, b and ln c - r + r b for each bucket and sample; the same in every task."""
-    rng, size = np.random.default_rng(seed), (1 << bits, samples)
-    r = rng.gamma(2, 1, size).astype(np.float32)
-    c = rng.gamma(2, 1, size).astype(np.float32)
-    b = rng.random(size, np.float32)
-    return r, 1 / r, b, np.log(c) - r + r * b
-
-
-def terms(texts: list[str], bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, bucket, weight) of all terms, in order of text and bucket."""
+SAMPLES, SEED = 64, 42
+PAIRS_AT_ONCE, DRAWS_AT_ONCE = 32_768, 128
+
+
+def uniform(hashes: np.ndarray) -> np.ndarray:
+    """Two inner points of (0, 1) from each 64-bit hash, of 23 bits each, which float32 holds exactly."""
+    bits = hashes.view(np.uint32) >> np.uint32(9)
+    bits |= np.uint32(0x3F800000)
+    points = bits.view(np.float32)
+    points -= np.float32(1 - 2**-24)
+    return points
+
+
+def draws(term: np.ndarray, samples: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """r, b and ln c - r + r b for each term and sample; the same in every task."""
+    keys = np.random.default_rng(seed).integers(0, 1 << 64, samples, np.uint64)
+    r, b, rest = (np.empty((len(term), samples), np.float32) for _ in range(3))
+    for at in range(0, len(term), DRAWS_AT_ONCE):
+        part = slice(at, at + DRAWS_AT_ONCE)
+        x = term[part, None] ^ keys
+        for _ in range(2):
+            x ^= x >> np.uint64(32)
+            x *= np.uint64(0xD6E8FEB86659FD93)
+        x ^= x >> np.uint64(32)
+        c = uniform(x)
+        c = np.log(c[:, ::2] * c[:, 1::2])
+        np.negative(c, out=c)
+        np.log(c, out=c)
+        x *= np.uint64(0x9E3779B97F4A7C15)
+        x ^= x >> np.uint64(29)
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(32)
+        q = uniform(x)
+        q = np.log(q[:, ::2] * q[:, 1::2])
+        np.negative(q, out=r[part])
+        x *= np.uint64(0x94D049BB133111EB)
+        b[part] = uniform(x)[:, 1::2]
+        q *= 1 - b[part]
+        np.add(c, q, out=rest[part])
+    return r, b, rest
+
+
+def terms(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, place of the term, weight) of all terms, in order of text and term, and the sorted hashes of terms."""
     flat, counts = split_words(pa.array(texts, pa.string()))
     seen = flat.dictionary_encode()
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, seen.dictionary.to_numpy(zero_copy_only=False)), np.uint64, len(seen.dictionary))
@@ -49,30 +76,37 @@ def terms(texts: list[str], bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     pairs = (pairs ^ (pairs >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     together = text[:-1] == text[1:]
     text = np.concatenate([text, text[:-1][together]])
-    bucket = np.concatenate([words, pairs[together]]) >> np.uint64(64 - bits)
-    key, weight = np.unique((text.astype(np.uint64) << np.uint64(bits)) | bucket, return_counts=True)
-    return (key >> np.uint64(bits)).astype(np.int64), (key & np.uint64((1 << bits) - 1)).astype(np.int64), weight
+    distinct, place = np.unique(np.concatenate([words, pairs[together]]), return_inverse=True)
+    key, weight = np.unique((text << 32) | place, return_counts=True)
+    return key >> 32, key & 0xFFFFFFFF, weight, distinct
 
 
-def fingerprints(texts: list[str], samples: int = SAMPLES, bits: int = BITS, seed: int = SEED) -> np.ndarray:
+def fingerprints(texts: list[str], samples: int = SAMPLES, seed: int = SEED) -> np.ndarray:
     """One row of 16-bit codes per text; a text without words has zeros, which no other text has."""
-    r, inverse, b, rest = draws(samples, bits, seed)
-    text, bucket, weight = terms(texts, bits)
-    log_weight = np.log(weight).astype(np.float32)
+    text, place, weight, distinct = terms(texts)
     out = np.zeros((len(texts), samples), np.uint16)
     best = np.full((len(texts), samples), np.inf, np.float32)
     for at in range(0, len(text), PAIRS_AT_ONCE):
-        rows, own = bucket[at : at + PAIRS_AT_ONCE], text[at : at + PAIRS_AT_ONCE]
-        t = np.floor(log_weight[at : at + PAIRS_AT_ONCE, None] * inverse[rows] + b[rows])
-        value = rest[rows] - r[rows] * t
+        part = slice(at, at + PAIRS_AT_ONCE)
+        own, (used, rows) = text[part], np.unique(place[part], return_inverse=True)
+        r, b, rest = draws(distinct[used], samples, seed)
+        value = rest[rows]
+        often = np.flatnonzero(weight[part] > 1)  # t is 0 for a weight of 1
+        t = np.zeros((len(often) + 1, samples), np.float32)
+        slot = np.full(len(rows), len(often))
+        slot[often] = np.arange(len(often))
+        r = r[rows[often]]
+        t[:-1] = np.floor(np.log(weight[part][often]).astype(np.float32)[:, None] / r + b[rows[often]])
+        value[often] -= r * t[:-1]
         first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
         least, of = np.minimum.reduceat(value, first), own[first]
         run = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(own)]))
-        row, col = np.nonzero(value == least[run])
-        code = (rows[row].astype(np.uint32) * np.uint32(0x9E3779B1) + t[row, col].astype(np.int32).astype(np.uint32)) * np.uint32(0x85EBCA6B)
+        row, col = np.divmod(np.flatnonzero(value == least[run]), samples)
+        short = ((distinct[used] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
+        code = (short[rows[row]] + t[slot[row], col].astype(np.int32).astype(np.uint32)) * np.uint32(0x85EBCA6B)
         drawn = np.zeros(least.shape, np.uint16)
         drawn[run[row], col] = (code >> np.uint32(16)).astype(np.uint16) | np.uint16(1)
-        better = least < best[of]  # a long text goes on in the next slice
+        better = least <= best[of]  # a long text goes on in the next slice; of equal values the last is drawn, as inside one
         out[of] = np.where(better, drawn, out[of])
         best[of] = np.where(better, least, best[of])
     return out
@@ -91,9 +125,9 @@ def edited(text: str, following: str) -> str:
 
 def digest(texts: list[str], nexts: list[str]) -> dict[str, pa.Array]:
     changed = [edited(a, b) for a, b in zip(texts, nexts)]
-    codes = fingerprints([*texts, *changed, *nexts[-1:]])
     n = len(texts)
-    own, other, following = codes[:n], codes[n : 2 * n], codes[2 * n :]
+    codes = fingerprints([*(x for both in zip(texts, changed) for x in both), *nexts[-1:]])  # what shares terms side by side
+    own, other, following = codes[: 2 * n : 2], codes[1 : 2 * n : 2], codes[2 * n :]
     # nexts[i] is texts[i + 1], but for the last.
     after = np.concatenate([own[1:], following]) if n else own
     return {

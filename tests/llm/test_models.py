@@ -49,6 +49,18 @@ def test_samples_do_not_depend_on_slices(monkeypatch):
     assert fingerprints.fingerprints([]).shape == (0, fingerprints.SAMPLES)
 
 
+def test_likeness_of_very_long_texts():
+    """Terms are not merged, however many a text has."""
+    words = lambda name, n: [f"{name}{i * 7919 % n}" for i in range(n)]
+    common, a, b = words("c", 50_000), words("a", 100_000), words("b", 100_000)
+    often = " ".join(common * 2)
+    texts = [" ".join(a), " ".join(b), " ".join(common + a), " ".join(common + b), " ".join(common), often]
+    codes = fingerprints.fingerprints(texts, samples=512)
+    for x, y in ((0, 1), (2, 3), (0, 2), (1, 3), (4, 5), (0, 5)):
+        got, want = (codes[x] == codes[y]).mean(), jaccard(bag(texts[x]), bag(texts[y]))
+        assert abs(got - want) < 4 * np.sqrt(want * (1 - want) / 512) + 0.003, (x, y, got, want)
+
+
 def test_fingerprints_of_odd_tables(odd, none, clash):
     for docs in (odd, none, clash):
         rows = docs.collect()
