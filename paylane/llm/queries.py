@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from paylane.llm import decontamination, fingerprints, language, line_dedup, near_dedup, packing, quality, rollups, sharding, token_files
+from paylane.llm import conversations, decontamination, fingerprints, language, line_dedup, near_dedup, packing, quality, rollups, sharding, token_files
 from paylane.llm import oracle
 from paylane.llm.common import held_out, read_table
 from paylane.session import staged, work_dir
@@ -103,6 +103,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.checksums(token_files.read_tokens(spark, path), ["doc_id", "start", "n_tokens"])
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations")
+    return conversations.repair_all(conversations.damaged(rows), rows)
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_line_dedup": op2_line_dedup,
@@ -114,6 +119,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_language": op9_language,
     "op10_token_files": op10_token_files,
+    "op11_conversations": op11_conversations,
     "pipeline": corpus_pipeline.run,
 }
 
