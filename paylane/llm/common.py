@@ -43,6 +43,12 @@ def offsets(counts: DataFrame, key: str, count: str, block: int = 1000) -> DataF
     return inside.join(blocks, "_block").select(key, (F.col("_in") + F.col("_base")).alias("base"))
 
 
+def broadcast_within(table: DataFrame, row_bytes: Column, limit: int = 64 << 20) -> DataFrame:
+    """A stored table, to be broadcast if its rows add up to ``limit`` bytes at most; else joined by shuffle."""
+    size = table.agg(F.sum(row_bytes)).first()[0] or 0
+    return F.broadcast(table) if size <= limit else table
+
+
 Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from paylane.llm import conversations, decontamination, fingerprints, language, line_dedup, near_dedup, packing, quality, rollups, sharding, token_files
+from paylane.llm import conversations, decontamination, fingerprints, language, licenses, line_dedup, near_dedup, packing, quality, rollups, sharding, token_files
 from paylane.llm import oracle
 from paylane.llm.common import held_out, read_table
 from paylane.session import staged, work_dir
@@ -108,6 +108,10 @@ def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_all(conversations.damaged(rows), rows)
 
 
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.summary(licenses.scan(read_table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_line_dedup": op2_line_dedup,
@@ -120,6 +124,7 @@ QUERIES = {
     "op9_language": op9_language,
     "op10_token_files": op10_token_files,
     "op11_conversations": op11_conversations,
+    "op12_licenses": op12_licenses,
     "pipeline": corpus_pipeline.run,
 }
 

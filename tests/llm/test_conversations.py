@@ -36,6 +36,9 @@ def cheapest(rows):
                         out += [(price + late + c, edit + a, (f"{new}:{text}", *t)) for c, a, t in go(i + 1, to, 0)]
         return [min(out)] if out else []
 
+    for i in range(len(rows), 0, -50):  # bounded depth
+        for last in ("", "s", "u", "a"):
+            go(i, last, 0)
     return go(0, "", 0)[0]
 
 
