@@ -59,3 +59,18 @@ select doc_id, cast(len(ws) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
        sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join hit using (rid) left join items using (rid)
 """
+
+LEXICAL = f"""
+with d as (select row_number() over () as rid, doc_id, regexp_extract_all({LOWERED}, '{WORD}') as ws from documents),
+ b as (select row_number() over () as q, item_id, regexp_extract_all({LOWERED}, '{WORD}') as ws from benchmark),
+ total as (select count(*) as n, sum(len(ws)) as l from d where len(ws) > 0),
+ asked as (select q, term, count(*) as often from (select q, unnest(ws) as term from b) group by 1, 2),
+ tf as (select rid, term, count(*) as tf from (select rid, unnest(ws) as term from d) where term in (select term from asked) group by 1, 2),
+ weight as (select term, cast(floor(1000 * ln((2 * n + 2)::double / (2 * df + 1)::double)) as bigint) as w
+            from (select term, count(*) as df from tf group by 1), total),
+ damp as (select rid, doc_id, 25 + cast((75 * len(ws)::bigint * n) // l as bigint) as m from d, total),
+ scored as (select q, rid, doc_id, cast(sum(often * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) as bigint) as score
+            from asked join tf using (term) join weight using (term) join damp using (rid) group by 1, 2, 3),
+ placed as (select *, row_number() over (partition by q order by score desc, doc_id) as rank from scored where score > 0)
+select item_id, cast(rank as integer) as rank, doc_id, score from placed join b using (q) where rank <= 10
+"""

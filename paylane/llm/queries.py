@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from paylane.llm import conversations, decontamination, fingerprints, language, licenses, line_dedup, near_dedup, packing, quality, rollups, sharding, token_files
+from paylane.llm import conversations, decontamination, fingerprints, language, lexical, licenses, line_dedup, near_dedup, packing, quality, rollups, sharding, token_files
 from paylane.llm import oracle
 from paylane.llm.common import held_out, read_table
 from paylane.session import staged, work_dir
@@ -112,6 +112,11 @@ def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.summary(licenses.scan(read_table(spark, sf_dir, "documents")))
 
 
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    return lexical.search(docs, items, work_dir(spark, "signatures"))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_line_dedup": op2_line_dedup,
@@ -125,6 +130,7 @@ QUERIES = {
     "op10_token_files": op10_token_files,
     "op11_conversations": op11_conversations,
     "op12_licenses": op12_licenses,
+    "op13_lexical": op13_lexical,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -133,4 +139,5 @@ ORACLES: dict[str, str] = {
     "op3_near_dedup": oracle.NEAR_DEDUP,
     "op7_token_counts": oracle.TOKEN_COUNTS,
     "op8_decontamination": oracle.DECONTAMINATION,
+    "op13_lexical": oracle.LEXICAL,
 }
