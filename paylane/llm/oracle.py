@@ -6,12 +6,18 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LOWERED = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-LINE_DEDUP = """
+# One edit of code points; the distance that DuckDB has counts bytes, of which one character has four at most.
+_DIFFERS = "len(list_filter(range(1, a.n + 1), lambda i: substr(a.t, i, 1) <> substr(b.t, i, 1))) = 1"
+_LEFT_OUT = "len(list_filter(range(1, {l}.n + 1), lambda i: left({l}.t, i - 1) || substr({l}.t, i + 1) = {s}.t)) > 0"
+ONE_EDIT = f"""levenshtein(a.t, b.t) <= 4 and case when a.n = b.n then {_DIFFERS}
+ when a.n > b.n then {_LEFT_OUT.format(l='a', s='b')} else {_LEFT_OUT.format(l='b', s='a')} end"""
+
+LINE_DEDUP = f"""
 with l as (select doc_id, no, line, trim(line) as t, length(trim(line)) as n
            from (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as no from documents)),
- f as (select t, n, min((doc_id, no)) as first from l where n >= 20 group by t, n),
+ f as (select t, n, min((doc_id, no)) as first from l where n >= 1 group by t, n),
  near as (select distinct a.t from f a join (select *, n + d as other from f, (values (-1), (0), (1)) v(d)) b
-          on a.n = b.other and a.t <> b.t and b.first < a.first and levenshtein(a.t, b.t) <= 1),
+          on a.n = b.other and a.t <> b.t and b.first < a.first and {ONE_EDIT}),
  marked as (select l.*, f.first is not null and ((l.doc_id, l.no) <> f.first or near.t is not null) as dropped
             from l left join f on l.t = f.t left join near on l.t = near.t)
 select d.doc_id, cast(coalesce(len(string_split(d.text, chr(10))), 0) as bigint) as n_lines, coalesce(m.n_dropped, 0) as n_dropped,
