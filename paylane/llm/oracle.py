@@ -43,7 +43,7 @@ from documents d left join c using (doc_id) join reach on reach.x = d.doc_id gro
 
 _COUNTED = r"""select doc_id, source, lang, text, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as old,
  len(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]')) as new,
- doc_id > min(doc_id) over (partition by text) and text is not null as is_copy from documents"""
+ coalesce(doc_id > min(doc_id) over (partition by text) and text is not null, false) as is_copy from documents"""
 TOKEN_COUNTS = f"""
 with c as ({_COUNTED}), left_over as (select * from c where not is_copy)
 select source, lang, case when lang <> 'en' then 'marks-1' else 'words-1' end as version, cast(count(*) as bigint) as n_docs,

@@ -62,19 +62,25 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three batches over all documents, the second delivered twice: inserts of all, deletes of exact copies (the lowest id
-    stays), and revised counts of what is left in languages other than English, which move to another tokenizer version."""
+    stays), and revised counts of what is left in languages other than English, which move to another tokenizer version.
+
+    Rows of the lowest id are told by text and id together, so the rows of one text are dealt over all tasks. A row without
+    id or text is no copy.
+    """
     docs = read_table(spark, sf_dir, "documents")
     counts = [rollups.n_tokens(F.col("text"), v).alias(c) for v, c in (("words-1", "old"), ("marks-1", "new"))]
     rows = staged(docs.select("doc_id", "source", "lang", F.sha2("text", 256).alias("same"), *counts), "counted")
-    firsts = rows.groupBy("same").agg(F.min("doc_id").alias("first"))
-    copies = rows.join(firsts, "same").where("doc_id > first")
-    stay = rows.join(copies.select("doc_id").distinct(), "doc_id", "left_anti").where("lang <> 'en'")
+    firsts = rows.groupBy("same").agg(F.min("doc_id").alias("doc_id")).withColumn("first", F.lit(True))
+    marked = staged(rows.join(firsts, ["same", "doc_id"], "left"), "marked")
+    copy = F.col("first").isNull() & F.col("same").isNotNull() & F.col("doc_id").isNotNull()
+    copies, stay = marked.where(copy), marked.where(~copy & (F.col("lang") != "en"))
     store = rollups.Rollup(spark, work_dir(spark, "rollup"))
     store.commit("load", rollups.signed(rows, 1, "words-1", "old"))
     store.commit("copies", rollups.signed(copies, -1, "words-1", "old"))
     revised = rollups.signed(stay, -1, "words-1", "old").unionByName(rollups.signed(stay, 1, "marks-1", "new"))
     store.commit("revised", revised)
     store.commit("copies", rollups.signed(copies, -1, "words-1", "old"))
+    store.keep_totals()
     return store.totals()
 
 
