@@ -23,7 +23,6 @@ from ..operators.lookups import lookup
 from ..operators.parties import OUTPUT_TYPES, maybe_key, resolve_parties, with_domain
 from ..operators.tags import match_rules
 from ..params import RunParams
-from ..session import staged
 
 ORDER = ["customer", "business_type", "account_no", "business_no", "currency", "entry_date", "value_date", "transfer_no"]
 
@@ -34,8 +33,7 @@ NO_ACCOUNT, NO_PHONE = "XXXX", "XXXXXXXX"
 def ledger(t: dict[str, DataFrame], p: RunParams, all_states: bool = False) -> DataFrame:
     """The window's transfers with geography and tag; both transaction extracts start from it.
 
-    They report settled transfers alone, so the others are left out at the header scan. The ledger is stored once, before
-    its tags are looked up.
+    They report settled transfers alone, so the others are left out at the header scan.
     """
     headers = header_slice(t["txn_header"], p.ledger_start, p.end)
     if not all_states:
@@ -43,7 +41,7 @@ def ledger(t: dict[str, DataFrame], p: RunParams, all_states: bool = False) -> D
     transfers = open_transfers(headers, in_run(t["txn_item"], p.ledger_start, p.end), t)
     parties = with_domain(resolve_parties(t, "party"), t["category"])
     located = derive_geography(assemble_ledger(transfers, parties, t), t).drop("as_of_date")
-    return match_rules(staged(located, "ledger"), t["tag_rule"])
+    return match_rules(located, t["tag_rule"])
 
 
 def reported_sides(base: DataFrame, p: RunParams) -> DataFrame:

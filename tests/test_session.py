@@ -10,6 +10,9 @@ from paylane import session
 from paylane.demo.registry import YEAR
 from paylane.demo.tables import demo_tables
 from paylane.operators import activity, ledger, lookups, tags
+from paylane.params import RunParams
+from paylane.plans import transaction
+from paylane.session import work_dir
 
 SF = "/root/testdata/sf0.001"
 
@@ -88,24 +91,29 @@ def test_late_items_are_read_once(spark):
     assert "late-items" in plan and "header-ids" not in plan
 
 
-def test_hot_tuple_of_tag_values_is_split_at_run_time(spark):
-    """A third of all rows ask for one tag; its rows arrive at the join by their own exchange, as do the tags."""
-    rows = spark.range(60_000).selectExpr(
+def test_tags_are_found_without_moving_rows(spark):
+    """A third of all rows ask for one tag; no row leaves the task that has it, and none is read twice."""
+    path = work_dir(spark, "rows")
+    spark.range(60_000).selectExpr(
         "case when id % 3 = 0 then 'HOT' else concat('T', id % 500) end as transfer_subtype", "cast(null as string) as a", "repeat('x', 200) as pad"
-    )
+    ).write.parquet(path)
+    rows = spark.read.parquet(path)
     rules = spark.createDataFrame([(1, "HOT", "hot", None), (2, "HOT", "later", None), (1, "T1", "one", "b")], "tag_id int, transfer_subtype string, tag_name string, a string")
-    keys = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k", "spark.sql.adaptive.coalescePartitions.enabled": "false",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-    }
-    before = {k: spark.conf.get(k) for k in keys}
-    try:
-        for k, v in keys.items():
-            spark.conf.set(k, v)
-        found = tags.match_rules(rows.repartition(8), rules, equal={"a": F.col("a")}, differ={})
-        assert found.where("tag_name = 'hot'").count() == 20_000
-        counts = found.groupBy("tag_name").count()
-        assert "skew=true" in plan_of(found.select("tag_name", "pad")) and counts.count() == 501
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
+    found = tags.match_rules(rows, rules, equal={"a": F.col("a")}, differ={})
+    assert found.where("tag_name = 'hot'").count() == 20_000 and found.select("tag_name").distinct().count() == 501
+    final = plan_of(found).split("== Initial Plan ==")[0]
+    assert final.count(path.rsplit("/", 1)[1][:20]) == 1
+    outer = [line for line in final.splitlines() if "BroadcastHashJoin" in line]
+    assert len(outer) == 2 and "SortMergeJoin" not in final
+    below = final[final.rindex("BroadcastHashJoin") :].split("BroadcastQueryStage")[0]  # from the first join down to the scan
+    assert "FileScan" in below and "Exchange" not in below
+
+
+def test_tagged_ledger_has_no_exchange_of_its_own(spark):
+    """Of the wide rows of the ledger nothing is exchanged for their tags."""
+    t = demo_tables(spark, SF)
+    run = RunParams("CI", "DELTA", YEAR.start, YEAR.end, ledger_days=365)
+    plain = plan_of(transaction.ledger(dict(t) | {"tag_rule": t["tag_rule"].where("false")}, run)).split("== Initial Plan ==")[0]
+    tagged = plan_of(transaction.ledger(dict(t), run)).split("== Initial Plan ==")[0]
+    shuffles = lambda plan: plan.split("BroadcastQueryStage")[0].count("Exchange hashpartitioning")
+    assert shuffles(tagged) == shuffles(plain)
