@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from paylane.demo import registry
 from paylane.demo.tables import demo_tables
 from paylane.session import prepare, scratch, work_dir
-from paylane.sources import load_tables
+from paylane.sources import BY_ID, append_by_id, load_tables
 
 HEADLINE = (
     "j_pair_legs",
@@ -42,11 +42,17 @@ HEADLINE = (
 
 
 def stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The payments tables written once and read as a run reads them, so that no query derives them again."""
+    """The payments tables written once and read as a run reads them, so that no query derives them again.
+
+    Items and headers are kept in order of transfer id as well, as a lake would keep them.
+    """
     base = work_dir(spark, "lake")
     for name, table in demo_tables(spark, sf_dir).items():
         table.write.parquet(f"{base}/{name}")
-    return load_tables(spark, {"main": {"base": base, "empty_text": False}})
+    tables = load_tables(spark, {"main": {"base": base, "empty_text": False}})
+    for name in BY_ID:
+        append_by_id(tables[name], f"{base}/by_id/{name}")
+    return load_tables(spark, {"main": {"base": base, "empty_text": False, "by_id": f"{base}/by_id"}})
 
 
 def main() -> None:

@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from .. import functions as fx
 from ..functions.dates import moment
 from ..operators import activity, cohorts, control, geography, ledger, lookups, parties, tags
+from ..operators.legs import expanded
 from ..operators.layout import Field, fixed_width, quoted_pipe, reserved
 from ..params import RunParams
 from ..plans import account, control as report, country, customer, transaction
 from ..session import prepare, work_dir
-from ..sources import SCHEMAS, file_manifest, load_tables, numbered, read_lines, write_lines
+from ..sources import BY_ID, SCHEMAS, append_by_id, file_manifest, load_tables, numbered, read_lines, write_lines
 from . import oracle as o
 from .tables import base_table, demo_tables
 
@@ -76,14 +77,15 @@ def whole_items(t: Tables) -> DataFrame:
     return ledger.in_run(t["txn_item"], WHOLE.ledger_start, WHOLE.end)
 
 
-def whole_ledger(t: Tables) -> DataFrame:
-    return transaction.ledger(t, WHOLE, all_states=True)
+def whole_ledger(t: Tables, all_states: bool = True) -> DataFrame:
+    return transaction.ledger(t, WHOLE, all_states, transaction.run_legs(t, WHOLE))
 
 
 def raw_transfers(t: Tables) -> DataFrame:
+    """Transfers ``copies`` times each; queries multiply their own few columns."""
     headers = ledger.header_slice(t["txn_header"], WHOLE.ledger_start, WHOLE.end)
     people = parties.with_domain(parties.resolve_parties(t, "party"), t["category"])
-    return ledger.assemble_ledger(ledger.open_transfers(headers, whole_items(t), t), people, t)
+    return ledger.assemble_ledger(ledger.open_transfers(headers, transaction.run_legs(t, WHOLE), t), people, t)
 
 
 # ---------------------------------------------------------------- sources and layouts
@@ -305,9 +307,12 @@ def j_parties(t):
     )
 
 
-@query("j_active_wallets", "select wallet_number, user_id from wallet where wallet_number in (select wallet_number from ora_moving)")
+ACTIVE_WALLETS = "select wallet_number, user_id from wallet where wallet_number in (select wallet_number from ora_moving)"
+
+
+@query("j_active_wallets", ACTIVE_WALLETS)
 def j_active_wallets(t):
-    return ledger.active_wallets(t["wallet"], whole_items(t), t["txn_header"]).select("wallet_number", "user_id")
+    return ledger.active_wallets(t["wallet"], whole_items(t), t["txn_header"], t.get(BY_ID["txn_header"])).select("wallet_number", "user_id")
 
 
 @query("j_reactivated", "select user_id, msisdn from ora_back")
@@ -351,7 +356,7 @@ def j_activity(t):
  {sql_dbl('amount')} as amount, {sql_dbl('charged')} as total_charge, done as settled from ora_transfers""",
 )
 def j_ledger(t):
-    return raw_transfers(t).select(
+    rows = raw_transfers(t).select(
         "transfer_id",
         "sender_wallet",
         "receiver_wallet",
@@ -360,12 +365,14 @@ def j_ledger(t):
         dbl(F.round("amount", 2)).alias("amount"),
         dbl(F.round("total_charge", 2)).alias("total_charge"),
         "settled",
+        "copies",
     )
+    return expanded(rows)
 
 
 @query("j_tags", "select transfer_id, s_wallet as sender_wallet, r_wallet as receiver_wallet, tag as tag_name from ora_tagged")
 def j_tags(t):
-    return whole_ledger(t).select("transfer_id", "sender_wallet", "receiver_wallet", "tag_name")
+    return expanded(whole_ledger(t).select("transfer_id", "sender_wallet", "receiver_wallet", "tag_name", "copies"))
 
 
 @query(
@@ -465,9 +472,9 @@ def a_volume_class(t):
     f"select transfer_id, kind, s_wallet as sender_wallet, r_wallet as receiver_wallet, {sql_dbl('charged')} as total_charge from ora_pairs",
 )
 def w_total_charge(t):
-    items = whole_items(t)
-    x = ledger.total_charge(ledger.pair_legs(items), items, lookups.currency_factor(t))
-    return x.select("transfer_id", "kind", "sender_wallet", "receiver_wallet", dbl(F.round("total_charge", 2)).alias("total_charge"))
+    legs = transaction.run_legs(t, WHOLE)
+    x = ledger.total_charge(ledger.pair_legs(legs), legs, lookups.currency_factor(t))
+    return expanded(x.select("transfer_id", "kind", "sender_wallet", "receiver_wallet", dbl(F.round("total_charge", 2)).alias("total_charge"), "copies"))
 
 
 def _runs(lines: str, key: str) -> str:
@@ -477,7 +484,7 @@ def _runs(lines: str, key: str) -> str:
 
 @query("w_run_count", f"select cast(({_runs(o.transaction_lines(), 'substring(line, 50, 29)')}) as bigint) as n_runs")
 def w_run_count(t):
-    lines = transaction.extract_transaction(t, WHOLE)
+    lines = transaction.extract_transaction(t, WHOLE, whole_ledger(t, all_states=False))
     key = F.concat("entry_date", "value_date", F.substring("transfer_no", 1, 13))
     return control.run_count(lines, key, transaction.ORDER)
 
@@ -493,9 +500,10 @@ def o_total_order(t):
  union all select transfer_id, 'C', r_wallet, s_wallet, {sql_dbl('amount')} from ora_transfers""",
 )
 def u_two_sided(t):
-    return ledger.two_sided(raw_transfers(t)).select(
-        "transfer_id", "side", "own_wallet", "contra_wallet", dbl(F.round("signed_amount", 2)).alias("signed_amount")
+    sides = ledger.two_sided(raw_transfers(t)).select(
+        "transfer_id", "side", "own_wallet", "contra_wallet", dbl(F.round("signed_amount", 2)).alias("signed_amount"), "copies"
     )
+    return expanded(sides)
 
 
 @query("u_cohorts", f"select wallet_number, user_id, msisdn from ({o.reported('DELTA')})")
@@ -639,9 +647,10 @@ def x_duration(spark, sf_dir):
  r_country as receiver_country, r_currency as receiver_currency from ora_located""",
 )
 def t_geography(t):
-    return geography.derive_geography(raw_transfers(t), t).select(
-        "transfer_id", "sender_wallet", "receiver_wallet", "sender_country", "sender_currency", "receiver_country", "receiver_currency"
+    rows = geography.derive_geography(raw_transfers(t), t).select(
+        "transfer_id", "sender_wallet", "receiver_wallet", "sender_country", "sender_currency", "receiver_country", "receiver_currency", "copies"
     )
+    return expanded(rows)
 
 
 @query(
@@ -664,13 +673,35 @@ def t_reclassify(t):
     return t["txn_item"].select("transfer_id", "transaction_type", "party_id", "second_party", final.alias("final_type"))
 
 
-@query(
-    "t_late",
-    f"select transfer_id, kind, s_wallet as sender_wallet, r_wallet as receiver_wallet from ({o.pairs(None, 'ora_late_items')})",
-)
+LATE_PAIRS = f"select transfer_id, kind, s_wallet as sender_wallet, r_wallet as receiver_wallet from ({o.pairs(None, 'ora_late_items')})"
+
+
+@query("t_late", LATE_PAIRS)
 def t_late(t):
     late = ledger.late_headers(t["txn_header"], YEAR.start, YEAR.end)
-    return ledger.pair_legs(ledger.items_of(t["txn_item"], late)).select("transfer_id", "kind", "sender_wallet", "receiver_wallet")
+    return ledger.pair_legs(ledger.items_of(t["txn_item"], late, t.get(BY_ID["txn_item"]))).select("transfer_id", "kind", "sender_wallet", "receiver_wallet")
+
+
+def tables_by_id(spark: SparkSession, sf_dir: str) -> Tables:
+    """The payments tables with copies of items and headers in order of transfer id, kept for the query."""
+    t = dict(demo_tables(spark, sf_dir))
+    base = work_dir(spark, "by-id")
+    for table, name in BY_ID.items():
+        append_by_id(t[table], f"{base}/{table}")
+        t[name] = spark.read.schema(t[table].schema).parquet(f"{base}/{table}")
+    return t
+
+
+@raw_query("t_late_by_id", LATE_PAIRS)
+def t_late_by_id(spark, sf_dir):
+    """As ``t_late``, with the items looked up in their copy by transfer id."""
+    return t_late(tables_by_id(spark, sf_dir))
+
+
+@raw_query("j_active_wallets_by_id", ACTIVE_WALLETS)
+def j_active_wallets_by_id(spark, sf_dir):
+    """As ``j_active_wallets``, with the headers looked up in their copy by transfer id."""
+    return j_active_wallets(tables_by_id(spark, sf_dir))
 
 
 @query(
@@ -694,14 +725,16 @@ def t_scale(t):
 def t_currency(t):
     x = geography.with_mapped_currency(geography.derive_geography(raw_transfers(t), t), t["country"])
     local = F.col("local_currency")
-    return x.select(
+    rows = x.select(
         "transfer_id",
         "sender_wallet",
         "receiver_wallet",
         geography.account_currency(local).alias("account_currency"),
         geography.display_currency(F.col("sender_mapped"), F.col("sender_currency"), local).alias("shown"),
         geography.contra_currency(F.col("receiver_currency"), F.col("receiver_mapped")).alias("contra"),
+        "copies",
     )
+    return expanded(rows)
 
 
 @query(
@@ -751,12 +784,12 @@ def c_account_ext(t):
 
 @query("c_transaction", o.transaction_lines())
 def c_transaction(t):
-    return transaction.extract_transaction(t, WHOLE).select("line")
+    return expanded(transaction.extract_transaction(t, WHOLE, whole_ledger(t, all_states=False)).select("line", "copies"))
 
 
 @query("c_transaction_ext", o.transaction_ext_lines())
 def c_transaction_ext(t):
-    return transaction.extract_transaction_ext(t, WHOLE).select("line")
+    return expanded(transaction.extract_transaction_ext(t, WHOLE, whole_ledger(t, all_states=False)).select("line", "copies"))
 
 
 # Runs for one phone number.
@@ -775,7 +808,7 @@ def c_account_phone(t):
 
 @query("c_transaction_phone", f"select line from ({o.transaction_lines()}) where substring(line, 6, 15) = rpad('{ONE_SELLER}', 15, ' ')")
 def c_transaction_phone(t):
-    return transaction.extract_transaction(t, replace(WHOLE, msisdn=ONE_SELLER)).select("line")
+    return expanded(transaction.extract_transaction(t, replace(WHOLE, msisdn=ONE_SELLER)).select("line", "copies"))
 
 
 country_lines = o.country_lines

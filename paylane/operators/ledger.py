@@ -1,7 +1,8 @@
 """The ledger: pairing the two legs of a transfer, charges, and the assembled transfers.
 
 A transfer has receiver legs and payer legs. They pair when the transfer, both parties (swapped) and the value agree;
-equal copies pair many-to-many, and that fan-out is part of the result.
+equal copies pair many-to-many. That fan-out is part of the result; it is carried as the number ``copies`` and rows are
+multiplied where they are written (``legs.expanded`` where they are wanted before).
 """
 
 from __future__ import annotations
@@ -15,24 +16,12 @@ from ..functions import in_window, is_settled, party_type, reclassify, scale, se
 from ..functions.dates import moment
 from ..functions.rules import CORRECTION_SERVICES, FEE_PARTY
 from ..session import broadcast_if_small, staged
+from ..sources.by_id import rows_of
+from ..sources.tables import BY_ID
+from .legs import ALL_KINDS, LEG_PAIRS, PAIR_KEY, Legs, payer_legs, receiver_legs
 from .lookups import currency_factor
 from .skew import LOT, with_lot
 
-# Receiver leg type -> payer leg type, for main, commission and service-charge legs.
-LEG_PAIRS = {"MR": "MP", "CR": "CP", "SCR": "SCP"}
-ALL_KINDS = tuple(LEG_PAIRS)
-
-# What a pair carries from each of its legs, besides the pairing key.
-SIDE_COLUMNS = {
-    "pseudo_user_id": "pseudo_user_id",
-    "wallet_number": "wallet",
-    "account_id": "msisdn",
-    "previous_balance": "pre_balance",
-    "post_balance": "post_balance",
-}
-PAIR_KEY = ("kind", "transfer_id", "receiver_user_id", "sender_user_id", "transfer_value")
-
-
 def header_slice(headers: DataFrame, start: datetime, end: datetime) -> DataFrame:
     """Headers transferred in ``[start, end)`` with their as-of date.
 
@@ -65,55 +54,32 @@ def in_run(items: DataFrame, start: datetime, end: datetime) -> DataFrame:
     return items.where(in_window(F.col("transfer_date"), start, end))
 
 
-def items_of(items: DataFrame, headers: DataFrame) -> DataFrame:
+def items_of(items: DataFrame, headers: DataFrame, by_id: DataFrame | None = None) -> DataFrame:
     """Items of the given headers, whatever their own date.
 
-    The ids are stored and counted first: few of them are broadcast, so that the undated item scan is not shuffled.
+    ``by_id`` is the items' copy in order of transfer id, if there is one: then only row groups that hold a wanted id are read.
+    Without it the ids are stored and counted first: few of them are broadcast, so that the undated item scan is not shuffled.
     """
+    if by_id is not None:
+        return rows_of(by_id, headers)
     ids = staged(headers.select("transfer_id").distinct(), "header-ids")
     return items.join(broadcast_if_small(ids), "transfer_id", "left_semi")
 
 
 def late_items(t: dict[str, DataFrame], start: datetime, end: datetime) -> DataFrame:
-    """Items of late-changed headers, stored: one undated scan of the items serves every leg and every extract of a run."""
-    return staged(items_of(t["txn_item"], late_headers(t["txn_header"], start, end)), "late-items")
-
-
-def receiver_legs(items: DataFrame, kinds: tuple[str, ...] = ALL_KINDS) -> DataFrame:
-    return items.where(F.col("transaction_type").isin(*kinds)).selectExpr(
-        "transaction_type as kind",
-        "transfer_id",
-        "party_id as receiver_user_id",
-        "second_party as sender_user_id",
-        "transfer_value",
-        "service_type as receiver_service_type",
-        "txn_mode",
-        *[f"{c} as receiver_{new}" for c, new in SIDE_COLUMNS.items()],
-    )
-
-
-def payer_legs(items: DataFrame, kinds: tuple[str, ...] = ALL_KINDS) -> DataFrame:
-    """Payer legs under the kind of the receiver leg that they pair with."""
-    kind = " ".join(f"when '{LEG_PAIRS[k]}' then '{k}'" for k in kinds)
-    return items.where(F.col("transaction_type").isin(*[LEG_PAIRS[k] for k in kinds])).selectExpr(
-        f"case transaction_type {kind} end as kind",
-        "transfer_id",
-        "second_party as receiver_user_id",
-        "party_id as sender_user_id",
-        "transfer_value",
-        "service_type",
-        "transfer_subtype as item_subtype",
-        "requested_value",
-        *[f"{c} as sender_{new}" for c, new in SIDE_COLUMNS.items()],
-    )
+    """Items of late-changed headers, stored: one lookup (or undated scan) serves every leg and every extract of a run."""
+    late = late_headers(t["txn_header"], start, end)
+    return staged(items_of(t["txn_item"], late, t.get(BY_ID["txn_item"])), "late-items")
 
 
-def pair_legs(items: DataFrame, kinds: tuple[str, ...] = ALL_KINDS) -> DataFrame:
-    """Pairs of the given kinds. Both inputs are the already windowed items, so the window prunes both scans.
+def pair_legs(items: DataFrame | Legs, kinds: tuple[str, ...] = ALL_KINDS) -> DataFrame:
+    """Pairs of the given kinds, ``copies`` times each; of windowed items, so that the window prunes their scans, or stored legs.
 
     One equi-join on all five parts of the key: a transfer with very many legs spreads over partitions by party and value.
+    Equal legs that are stored as one make one pair row, which counts for all of theirs.
     """
-    return receiver_legs(items, kinds).join(payer_legs(items, kinds), list(PAIR_KEY))
+    pairs = receiver_legs(items, kinds).join(payer_legs(items, kinds), list(PAIR_KEY))
+    return pairs.withColumn("copies", F.col("_received") * F.col("_paid")).drop("_received", "_paid")
 
 
 def is_charge() -> Column:
@@ -122,7 +88,7 @@ def is_charge() -> Column:
     return (F.col("kind") == "SCR") | ((F.col("kind") == "MR") & correction)
 
 
-def charge_totals(items: DataFrame, factor: Column) -> DataFrame:
+def charge_totals(items: DataFrame | Legs, factor: Column) -> DataFrame:
     """Total service charge per transfer, over all its pairs.
 
     Legs are counted per pairing key before they meet, and each pair of counts contributes value x count x count. So the
@@ -130,9 +96,12 @@ def charge_totals(items: DataFrame, factor: Column) -> DataFrame:
     party, so of the main payer legs only those are read. The totals are keyed by transfer and lot.
     """
     kinds = ("MR", "SCR")
-    payable = items.where((F.col("transaction_type") == LEG_PAIRS["SCR"]) | (F.col("party_id") == FEE_PARTY))
-    charged = receiver_legs(items, kinds).where(is_charge()).groupBy(*PAIR_KEY).agg(F.count(F.lit(1)).alias("n_receiver"))
-    paid = payer_legs(payable, kinds).groupBy(*PAIR_KEY).agg(F.count(F.lit(1)).alias("n_payer"))
+    payable = items
+    if not isinstance(items, Legs):
+        payable = items.where((F.col("transaction_type") == LEG_PAIRS["SCR"]) | (F.col("party_id") == FEE_PARTY))
+    payers = payer_legs(payable, kinds).where((F.col("kind") == "SCR") | (F.col("sender_user_id") == FEE_PARTY))
+    charged = receiver_legs(items, kinds).where(is_charge()).groupBy(*PAIR_KEY).agg(F.sum("_received").alias("n_receiver"))
+    paid = payers.groupBy(*PAIR_KEY).agg(F.sum("_paid").alias("n_payer"))
     total = F.sum(F.col("transfer_value") * F.col("n_receiver") * F.col("n_payer"))
     return (
         with_lot(charged.join(paid, list(PAIR_KEY)), "transfer_id")
@@ -142,19 +111,19 @@ def charge_totals(items: DataFrame, factor: Column) -> DataFrame:
     )
 
 
-def total_charge(pairs: DataFrame, items: DataFrame, factor: Column) -> DataFrame:
+def total_charge(pairs: DataFrame, items: DataFrame | Legs, factor: Column) -> DataFrame:
     """Pairs with the transfer's total charge on each, zero where nothing was charged."""
     joined = pairs.join(charge_totals(items, factor).drop(LOT), "transfer_id", "left")
     return joined.withColumn("total_charge", F.coalesce("total_charge", F.lit(0)))
 
 
-def main_pairs(items: DataFrame) -> DataFrame:
+def main_pairs(items: DataFrame | Legs) -> DataFrame:
     """Main pairs that are still main after reclassification."""
     kept = reclassify(F.col("kind"), F.col("receiver_service_type"), F.col("receiver_user_id"), F.col("sender_user_id"))
     return pair_legs(items, ("MR",)).where(kept == "MR")
 
 
-def open_transfers(headers: DataFrame, items: DataFrame, t: dict[str, DataFrame]) -> DataFrame:
+def open_transfers(headers: DataFrame, items: DataFrame | Legs, t: dict[str, DataFrame]) -> DataFrame:
     """Main pairs of the headers, where the service is financial or the transfer was charged.
 
     Commission and charge pairs are never part of a ledger, so they are not built. Charges enter as totals over all legs
@@ -233,15 +202,16 @@ def two_sided(ledger: DataFrame) -> DataFrame:
     return ledger.withColumn("_leg", F.explode(F.expr(sides))).select("*", "_leg.*").drop("_leg")
 
 
-def moved_money(items: DataFrame, headers: DataFrame) -> DataFrame:
-    """Wallets that sent or received in a settled main pair, once each.
+def moved_money(items: DataFrame | Legs, headers: DataFrame, by_id: DataFrame | None = None) -> DataFrame:
+    """Wallets that sent or received in a settled main pair, once each. ``by_id``: the headers in order of transfer id.
 
     Existence is all that counts, so both directions are semi-joins: copies of legs never multiply.
     """
     legs = receiver_legs(items, ("MR",))
     # Headers are not dated here. Thinned by the legs' own ids, their history streams past the ids instead of being shuffled.
     ids = staged(legs.select("transfer_id").distinct(), "leg-ids")
-    settled = settled_only(headers).join(broadcast_if_small(ids), "transfer_id", "left_semi").select("transfer_id")
+    known = headers.join(broadcast_if_small(ids), "transfer_id", "left_semi") if by_id is None else rows_of(by_id, ids)
+    settled = settled_only(known).select("transfer_id")
     receivers = legs.join(settled, "transfer_id", "left_semi")
     payers = payer_legs(items, ("MR",))
     received = receivers.join(payers, list(PAIR_KEY), "left_semi").select(F.col("receiver_wallet").alias("wallet_number"))
@@ -249,5 +219,5 @@ def moved_money(items: DataFrame, headers: DataFrame) -> DataFrame:
     return received.unionByName(sent).distinct()
 
 
-def active_wallets(wallets: DataFrame, items: DataFrame, headers: DataFrame) -> DataFrame:
-    return wallets.join(moved_money(items, headers), "wallet_number", "left_semi")
+def active_wallets(wallets: DataFrame, items: DataFrame | Legs, headers: DataFrame, by_id: DataFrame | None = None) -> DataFrame:
+    return wallets.join(moved_money(items, headers, by_id), "wallet_number", "left_semi")

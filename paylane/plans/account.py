@@ -8,16 +8,19 @@ from pyspark.sql import functions as F
 from ..functions import account_key, customer_key, day_text, decode, money_text, text_head
 from ..operators.layout import Field, blanks, fixed_width, quoted_pipe, reserved
 from ..operators.ledger import active_wallets, in_run
+from ..operators.legs import Legs
 from ..operators.lookups import currency_factor, lookup
 from ..operators.parties import eligible, maybe_key, resolve_parties, with_grade
 from ..params import RunParams
+from ..sources.tables import BY_ID
 
 ORDER = ["customer", "business_type", "account_no", "business_no", "currency"]
 
 
-def moving_wallets(t: dict[str, DataFrame], p: RunParams) -> DataFrame:
+def moving_wallets(t: dict[str, DataFrame], p: RunParams, legs: Legs | None = None) -> DataFrame:
     """Wallets that moved money in the ledger window; both account extracts of a run start from them."""
-    return active_wallets(t["wallet"], in_run(t["txn_item"], p.ledger_start, p.end), t["txn_header"])
+    items = in_run(t["txn_item"], p.ledger_start, p.end) if legs is None else legs
+    return active_wallets(t["wallet"], items, t["txn_header"], t.get(BY_ID["txn_header"]))
 
 
 def active_accounts(t: dict[str, DataFrame], p: RunParams, wallets: DataFrame | None = None) -> DataFrame:

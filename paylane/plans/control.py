@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,14 +11,16 @@ from pyspark.sql import functions as F
 
 from ..functions import duration_text
 from ..functions.dates import moment
-from ..operators.control import control_counts, freshness_status
+from ..operators.control import FRESH, control_counts, freshness_status
 from ..operators.geography import account_currency
 from ..operators.ledger import late_items
+from ..operators.legs import Legs
 from ..operators.lookups import env_value
+from ..operators.recency import ActivityMasks
 from ..params import RunParams
 from ..session import prepare, scratch, staged
-from ..sources import load_tables, read_lines, write_lines
-from ..sources.lines import file_totals
+from ..sources import file_manifest, load_tables, read_lines, write_lines
+from ..sources.lines import Counts, file_totals
 from . import account, country, customer, transaction
 
 # Output names in report order, and the slices of a line that count as its key (from, length):
@@ -33,6 +35,7 @@ OUTPUTS = (
     "in_transaction_extension",
 )
 ACCOUNT_PART = 46
+DIGESTS = "control_digests"
 
 
 def _first_word_slice(line: Column) -> Column:
@@ -59,19 +62,27 @@ def run_keys(currency: Column | None = None) -> dict[str, Column | None]:
 
 
 class Written(NamedTuple):
-    """One written output: where it is and how long its extraction took."""
+    """One written output: where it is, how long its extraction took, and what was counted while it was written."""
 
     name: str
     path: str
     seconds: float
+    counts: Counts | None = None
 
 
 def control_report(spark: SparkSession, outputs: list[Written], currency: Column | None = None) -> DataFrame:
-    """One row per output: extraction time, end (UTC), size in bytes, lines, and lines counted once per key run."""
+    """One row per output: extraction time, end (UTC), size in bytes, lines, and lines counted once per key run.
+
+    Outputs that were not counted as they were written (``counts`` is None) are read for it.
+    """
     keys = run_keys(currency)
     rows = None
     for position, out in enumerate(outputs):
-        counts = control_counts(read_lines(spark, out.path), keys[out.name])
+        if out.counts is None:
+            counts = control_counts(read_lines(spark, out.path), keys[out.name])
+        else:
+            known = [F.lit(n).cast("long").alias(c) for n, c in zip(out.counts, ("n_lines", "n_distinct"))]
+            counts = spark.range(1).select(*known)
         totals = file_totals(spark, out.path)
         row = counts.select(
             F.lit(position).alias("position"),
@@ -132,8 +143,11 @@ def report_lines(header: DataFrame, lag: DataFrame, rows: DataFrame) -> DataFram
     control = lag.select(
         F.lit(1).alias("section"), F.lit(2).alias("place"), F.concat_ws(SEPARATOR, "control", stamp("checked_at"), F.coalesce("lag", F.lit(""))).alias("line")
     )
-    fields = ["output", "extraction_time", stamp("finished_at"), *[F.col(c).cast("string") for c in ("size_bytes", "n_lines", "n_distinct")], F.lit("")]
-    body = rows.select(F.lit(2).alias("section"), (F.col("position") + 3).alias("place"), F.concat_ws(SEPARATOR, *fields).alias("line"))
+    fields = ["output", "extraction_time", stamp("finished_at"), F.col("size_bytes").cast("string")]
+    counts = [F.col(c).cast("string") for c in ("n_lines", "n_distinct")]
+    # Without counts, as of the digests, a row ends with its size.
+    text_of = F.when(F.col("n_lines").isNull(), F.concat_ws(SEPARATOR, *fields)).otherwise(F.concat_ws(SEPARATOR, *fields, *counts, F.lit("")))
+    body = rows.select(F.lit(2).alias("section"), (F.col("position") + 3).alias("place"), text_of.alias("line"))
     text = top
     for part in (
         fixed(1, 0, ""),
@@ -157,8 +171,11 @@ class Extract(NamedTuple):
     fold_copies: bool = False
 
 
-def extracts(main: dict[str, DataFrame], accounts: dict[str, DataFrame], p: RunParams) -> list[Extract]:
-    """The seven extracts in report order. What two of them start from is stored once, when the first is built."""
+def extracts(main: dict[str, DataFrame], accounts: dict[str, DataFrame], p: RunParams, masks: DataFrame | None = None) -> list[Extract]:
+    """The seven extracts in report order. What two of them start from is stored once, when the first is built.
+
+    ``masks``: the days that users were active on, where the lake keeps them.
+    """
     shared: dict[str, DataFrame] = {}
 
     def once(name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -171,9 +188,18 @@ def extracts(main: dict[str, DataFrame], accounts: dict[str, DataFrame], p: RunP
             shared["late"] = late_items(main, p.start, p.end)
         return shared["late"]
 
-    users = lambda: once("users", lambda: customer.run_users(main, p))
-    wallets = lambda: once("wallets", lambda: account.moving_wallets(accounts, p))
-    base = lambda: once("tagged", lambda: transaction.ledger(main, p))
+    window: dict[str, Legs] = {}
+
+    def legs(name: str, tables: dict[str, DataFrame]) -> Legs:
+        """The window's legs of one source, stored when first asked for; one source's serve all extracts."""
+        name = "main" if tables is main else name
+        if name not in window:
+            window[name] = transaction.run_legs(tables, p)
+        return window[name]
+
+    users = lambda: once("users", lambda: customer.run_users(main, p, masks))
+    wallets = lambda: once("wallets", lambda: account.moving_wallets(accounts, p, legs("accounts", accounts)))
+    base = lambda: once("tagged", lambda: transaction.ledger(main, p, legs=legs("main", main)))
     makers = (
         Extract(OUTPUTS[0], lambda: country.extract_country(main), country.ORDER),
         Extract(OUTPUTS[1], lambda: customer.extract_customer(main, p, users(), late()), customer.ORDER),
@@ -193,24 +219,62 @@ def write_extracts(
     p: RunParams,
     out_dir: str,
     only: tuple[str, ...] = OUTPUTS,
+    masks: DataFrame | None = None,
 ) -> list[Written]:
     """Write the outputs named in ``only``, each to its own folder. What was stored on the way is removed at the end."""
-    written = []
+    written, keys = [], run_keys(account_currency_of(main))
     with scratch(spark, "extracts"):
-        for x in extracts(main, accounts, p):
+        for x in extracts(main, accounts, p, masks):
             if x.name not in only:
                 continue
             began = datetime.now(timezone.utc)
             path = f"{out_dir.rstrip('/')}/{p.label}/{x.name}"
-            write_lines(x.build(), path, x.order, fold_copies=x.fold_copies)
-            written.append(Written(x.name, path, (datetime.now(timezone.utc) - began).total_seconds()))
+            counts = write_lines(x.build(), path, x.order, fold_copies=x.fold_copies, key=keys[x.name])
+            written.append(Written(x.name, path, (datetime.now(timezone.utc) - began).total_seconds(), counts))
     return written
 
 
+class StaleReplica(RuntimeError):
+    """The replica is behind, or cannot tell; nothing was extracted."""
+
+
+def require_fresh(stats: DataFrame, now: Column) -> None:
+    """Raise unless the replica's samples all say that it is fresh, and there is one."""
+    verdicts = [r["status"] for r in freshness_status(stats, now).select("status").distinct().collect()]  # three at most
+    if verdicts != [FRESH]:
+        raise StaleReplica(f"replica not fresh: {', '.join(v.strip() for v in sorted(verdicts)) or 'no sample'}")
+
+
+def write_digests(spark: SparkSession, written: list[Written], path: str) -> Written:
+    """One line per part file of the outputs: its MD5 and its name, in order of outputs and files."""
+    began = datetime.now(timezone.utc)
+    lines = None
+    for position, out in enumerate(written):
+        name = F.concat(F.lit(f"{out.name}/"), "file_name")
+        own = file_manifest(spark, out.path).select(F.lit(position).alias("position"), name.alias("name"), F.concat_ws("  ", "md5", name).alias("line"))
+        lines = own if lines is None else lines.unionByName(own)
+    lines.orderBy("position", "name").select("line").coalesce(1).write.mode("overwrite").text(path)  # a line per file
+    return Written(DIGESTS, path, (datetime.now(timezone.utc) - began).total_seconds())
+
+
+def digest_row(spark: SparkSession, digests: Written, position: int) -> DataFrame:
+    """The report's row for the digests: time taken, end and size; lines are not reported for them."""
+    return file_totals(spark, digests.path).select(
+        F.lit(position).alias("position"),
+        F.lit(digests.name).alias("output"),
+        duration_text(F.lit(digests.seconds)).alias("extraction_time"),
+        "finished_at",
+        "size_bytes",
+        F.lit(None).cast("long").alias("n_lines"),
+        F.lit(None).cast("long").alias("n_distinct"),
+    )
+
+
 class Run(NamedTuple):
-    """What a run leaves: the outputs, and its report as rows and as written text lines."""
+    """What a run leaves: the outputs, their digests, and its report as rows and as written text lines."""
 
     written: list[Written]
+    digests: Written
     header: DataFrame
     lag: DataFrame
     rows: DataFrame
@@ -225,23 +289,34 @@ def run(
     affiliate: str = "",
     version: str = "",
     now: datetime | None = None,
+    check_replica: bool = True,
 ) -> Run:
-    """Write all extracts of a run below ``out_dir``, and its control report beside them. Any failure is raised.
+    """Write all extracts of a run below ``out_dir``, digests of their files, and its control report beside them.
 
-    ``now`` (UTC) dates the report and is what the replica's freshness is judged by; the clock's time if it is not given.
+    Any failure is raised. A replica that is not fresh fails the run before the first extract, unless ``check_replica`` is off,
+    as it is for a source that is no replica. ``now`` (UTC) dates the report and is what the replica's freshness is judged by;
+    the clock's time if it is not given. ``config["activity_masks"]`` names the folder of activity masks, if they are kept.
     """
     prepare(spark)
     began = datetime.now(timezone.utc)
-    main, accounts = load_tables(spark, config, "main"), load_tables(spark, config, "accounts")
-    written = write_extracts(spark, main, accounts, p, out_dir)
-    seconds = (datetime.now(timezone.utc) - began).total_seconds()
+    main = load_tables(spark, config, "main")
+    accounts = load_tables(spark, config, "accounts") if "accounts" in config else main
     now = now or datetime.now(timezone.utc).replace(tzinfo=None)
+    if check_replica:
+        require_fresh(main["replica_stat"], moment(now))
+    masks = None
+    if config.get("activity_masks") and customer.masks_serve(p):
+        masks = ActivityMasks(spark, config["activity_masks"]).up_to(main, p.end - timedelta(days=1))
+    written = write_extracts(spark, main, accounts, p, out_dir, masks=masks)
+    base = f"{out_dir.rstrip('/')}/{p.label}"
+    digests = write_digests(spark, written, f"{base}/{DIGESTS}")
+    seconds = (datetime.now(timezone.utc) - began).total_seconds()
     header = run_header(spark, p, affiliate, version, seconds, now)
     lag = lag_row(main["replica_stat"], moment(now))
-    rows = control_report(spark, written, account_currency_of(main))
-    path = f"{out_dir.rstrip('/')}/{p.label}/control_report"
+    rows = control_report(spark, written, account_currency_of(main)).unionByName(digest_row(spark, digests, len(written)))
+    path = f"{base}/control_report"
     report_lines(header, lag, rows).coalesce(1).write.mode("overwrite").text(path)  # a few dozen lines
-    return Run(written, header, lag, rows, path)
+    return Run(written, digests, header, lag, rows, path)
 
 
 def account_currency_of(t: dict[str, DataFrame]) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,12 +22,32 @@ from ..operators.cohorts import active_users, created_before, flag_cohort, react
 from ..operators.layout import Field, blanks, fixed_width, quoted_pipe, reserved
 from ..operators.lookups import valid_country
 from ..operators.parties import eligible, resolve_parties, route_identity, with_categories, with_grade, with_identity
+from ..operators.recency import DAYS, reactivated_users, recently_active
 from ..params import ALL, RunParams
 
 ORDER = ["customer"]
 
 
-def reported_users(users: DataFrame, t: dict[str, DataFrame], p: RunParams) -> DataFrame:
+def added_cohort(t: dict[str, DataFrame], p: RunParams, masks: DataFrame | None = None) -> DataFrame:
+    """The users that the mode adds: the active ones of late, or the reactivated ones.
+
+    ``masks``: the days that users were active on, with the run's last day as theirs; without them the days are read again.
+    """
+    if p.mode == "FULLACTIVE":
+        return active_users(t, p.end - timedelta(days=p.active_days), p.end) if masks is None else recently_active(masks, p.active_days)
+    if masks is None:
+        return reactivated(t, p.start, p.end, p.dormant_days)
+    return reactivated_users(masks, (p.end - p.start).days, p.dormant_days)
+
+
+def masks_serve(p: RunParams) -> bool:
+    """Whether masks can tell the run's cohort: whole days, and no more of them than masks hold."""
+    days = (p.end - p.start).days
+    whole = p.start + timedelta(days=days) == p.end and p.end == datetime.combine(p.end.date(), datetime.min.time())
+    return whole and p.mode in ("DELTA", "FULLACTIVE") and max(p.active_days, days + p.dormant_days) <= DAYS
+
+
+def reported_users(users: DataFrame, t: dict[str, DataFrame], p: RunParams, masks: DataFrame | None = None) -> DataFrame:
     """Users to report: changed in the window, or in the cohort that the mode adds.
 
     A full-active run adds the active ones, a delta run the reactivated ones that are older than the dormant period; other
@@ -40,12 +60,10 @@ def reported_users(users: DataFrame, t: dict[str, DataFrame], p: RunParams) -> D
         # The phone filter is for the changed users alone.
         changed = changed & (F.col("msisdn") == p.msisdn)
     if p.mode == "FULLACTIVE":
-        cohort = active_users(t, p.end - timedelta(days=p.active_days), p.end)
-        return flag_cohort(users, cohort).where(F.col("in_cohort") | changed)
+        return flag_cohort(users, added_cohort(t, p, masks)).where(F.col("in_cohort") | changed)
     if p.mode == "DELTA":
-        cohort = reactivated(t, p.start, p.end, p.dormant_days)
         older = created_before(F.col("creation_date"), p.start, p.dormant_days)
-        return flag_cohort(users, cohort).where((F.col("in_cohort") & older) | changed)
+        return flag_cohort(users, added_cohort(t, p, masks)).where((F.col("in_cohort") & older) | changed)
     return users.where(changed)
 
 
@@ -57,9 +75,9 @@ def _country(code: str, valid: str) -> Column:
     return F.when(F.col(valid), _or_blank(F.col(code))).otherwise(" ")
 
 
-def run_users(t: dict[str, DataFrame], p: RunParams) -> DataFrame:
+def run_users(t: dict[str, DataFrame], p: RunParams, masks: DataFrame | None = None) -> DataFrame:
     """The users that both customer extracts of a run report."""
-    return reported_users(eligible(resolve_parties(t, "user"), primary_only=True), t, p)
+    return reported_users(eligible(resolve_parties(t, "user"), primary_only=True), t, p, masks)
 
 
 def extract_customer(

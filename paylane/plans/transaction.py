@@ -19,6 +19,7 @@ from ..functions import (
 from ..operators.geography import account_currency, contra_currency, derive_geography, display_currency, with_mapped_currency
 from ..operators.layout import Field, blanks, fixed_width, quoted_pipe, reserved
 from ..operators.ledger import assemble_ledger, header_slice, in_run, open_transfers, settled_only, two_sided
+from ..operators.legs import Legs, store_legs
 from ..operators.lookups import lookup
 from ..operators.parties import OUTPUT_TYPES, maybe_key, resolve_parties, with_domain
 from ..operators.tags import match_rules
@@ -30,15 +31,21 @@ ORDER = ["customer", "business_type", "account_no", "business_no", "currency", "
 NO_ACCOUNT, NO_PHONE = "XXXX", "XXXXXXXX"
 
 
-def ledger(t: dict[str, DataFrame], p: RunParams, all_states: bool = False) -> DataFrame:
-    """The window's transfers with geography and tag; both transaction extracts start from it.
+def run_legs(t: dict[str, DataFrame], p: RunParams) -> Legs:
+    """The legs of the ledger window, stored for all that pair them."""
+    return store_legs(in_run(t["txn_item"], p.ledger_start, p.end))
+
+
+def ledger(t: dict[str, DataFrame], p: RunParams, all_states: bool = False, legs: Legs | None = None) -> DataFrame:
+    """The window's transfers with geography and tag, ``copies`` times each; both transaction extracts start from it.
 
     They report settled transfers alone, so the others are left out at the header scan.
     """
     headers = header_slice(t["txn_header"], p.ledger_start, p.end)
     if not all_states:
         headers = settled_only(headers)
-    transfers = open_transfers(headers, in_run(t["txn_item"], p.ledger_start, p.end), t)
+    items = in_run(t["txn_item"], p.ledger_start, p.end) if legs is None else legs
+    transfers = open_transfers(headers, items, t)
     parties = with_domain(resolve_parties(t, "party"), t["category"])
     located = derive_geography(assemble_ledger(transfers, parties, t), t).drop("as_of_date")
     return match_rules(located, t["tag_rule"])
@@ -149,5 +156,6 @@ def extract_transaction_ext(t: dict[str, DataFrame], p: RunParams, base: DataFra
         *reserved("txn_text", 13, 48),
         *[value.alias(name) for name, value in numbers.items()],
         *reserved("txn_number", 4, 10, "decimal(20,2)"),
+        "copies",
     )
-    return quoted_pipe(fields, fields.columns[:57], fields.columns[57:], keys=tuple(ORDER))
+    return quoted_pipe(fields, fields.columns[:57], fields.columns[57:-1], keys=tuple(ORDER))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -56,15 +56,27 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{_SCRATCH.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_CLEANUPS: ContextVar[list[Callable[[], object]] | None] = ContextVar("cleanups", default=None)
+
+
+def on_cleanup(action: Callable[[], object]) -> None:
+    """Have ``action`` done when the scratch folder of the moment is removed; outside of one, never."""
+    if (actions := _CLEANUPS.get()) is not None:
+        actions.append(action)
+
+
 @contextmanager
 def scratch(spark: SparkSession, name: str) -> Iterator[str]:
     """Everything that is stored inside the block is removed at its end, so nothing read from it may be used afterwards."""
     path = work_dir(spark, name)
-    before = _SCRATCH.set(path)
+    before, actions = _SCRATCH.set(path), _CLEANUPS.set([])
     try:
         yield path
     finally:
+        for action in _CLEANUPS.get() or []:
+            action()
         _SCRATCH.reset(before)
+        _CLEANUPS.reset(actions)
         remove_dir(spark, path)
 
 
@@ -85,3 +97,10 @@ def remove_dir(spark: SparkSession, path: str) -> None:
     """Delete a folder of intermediate data through the file system that holds it."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any file system; none if it is not there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in files.listStatus(where)) if files.exists(where) else []

@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Iterator
+from typing import NamedTuple
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import staged
@@ -33,12 +40,54 @@ def numbered(df: DataFrame, order: list[str]) -> DataFrame:
 
 def _sliced_copies(df: DataFrame, order: list[str], copies_per_slice: int) -> DataFrame:
     """One row per distinct line and slice of its copies, so that no group of copies is sorted in one task."""
-    counted = df.groupBy(*order, "line").agg(F.count(F.lit(1)).alias("copies"))
+    each = F.col("copies") if "copies" in df.columns else F.lit(1)
+    counted = df.groupBy(*order, "line").agg(F.sum(each).alias("copies"))
     slices = F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / copies_per_slice))
     size = F.least(F.lit(copies_per_slice), F.col("copies") - F.col("slice") * copies_per_slice)
     return counted.withColumn("slice", F.explode(slices)).withColumn("size", size.cast("int"))
 
 
+class Counts(NamedTuple):
+    """What was counted while lines were written: lines, and how often their key changed from one to the next."""
+
+    n_lines: int
+    n_runs: int
+
+
+EDGES = pa.struct([("part", pa.int32()), ("first", pa.string()), ("last", pa.string()), ("inside", pa.int64())])
+
+
+def with_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines as they come; the last one of a partition carries the partition's first and last key and the changes between."""
+    held, first, last, inside = None, None, None, 0
+
+    def out(batch: pa.RecordBatch, edge: dict | None) -> pa.RecordBatch:
+        edges = pa.array([None] * (batch.num_rows - 1) + [edge], EDGES)
+        return pa.RecordBatch.from_arrays([batch.column("line"), batch.column("size"), edges], ["line", "size", "edge"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if held is not None:
+            yield out(held, None)
+        key = batch.column("key")
+        changed = pc.not_equal(key[1:], key[:-1]).to_numpy(zero_copy_only=False).astype(bool)
+        head, held = key[0].as_py(), batch
+        inside += int(np.count_nonzero(changed)) + (last is not None and last != head)
+        first, last = head if first is None else first, key[-1].as_py()
+    if held is not None:
+        yield out(held, {"part": TaskContext.get().partitionId(), "first": first, "last": last, "inside": inside})
+
+
+def counted_runs(edges: list) -> int:
+    """Changes of the key over all partitions in order; a blank key at the start is no change."""
+    before, runs = "", 0
+    for e in sorted(edges, key=lambda e: e["part"]):
+        runs += e["inside"] + (e["first"] != before)
+        before = e["last"]
+    return runs
+
+
 def write_lines(
     df: DataFrame,
     path: str,
@@ -46,22 +95,33 @@ def write_lines(
     fold_copies: bool = False,
     lines_per_file: int = LINES_PER_FILE,
     copies_per_slice: int = COPIES_PER_SLICE,
-) -> None:
-    """Write ``line`` in total order: part files in name order, lines in order within each.
+    key: Column | None = None,
+) -> Counts:
+    """Write ``line`` in total order: part files in name order, lines in order within each. Returns what was counted on the way.
+
+    Runs of the blank-stripped ``key`` (a column over ``line``; without one every line counts) are added up where a partition
+    is written, one edge each; so nothing that was written is read again for its counts.
 
     ``fold_copies`` is for extracts that can hold very many equal lines: they travel to the sort as counts,
-    spread over the range, and are written out again in full.
+    spread over the range, and are written out again in full. Lines that come with their number in ``copies`` always do.
     """
-    if not fold_copies:
-        _write_text(total_order(df, order).select("line"), path, lines_per_file)
-        return
-    ordered = _sliced_copies(df, order, copies_per_slice).orderBy(*[F.asc_nulls_last(c) for c in [*order, "line", "slice"]])
-    again = F.explode(F.array_repeat(F.col("line"), F.col("size"))).alias("line")
-    _write_text(ordered.select(again), path, lines_per_file)
-
-
-def _write_text(lines: DataFrame, path: str, lines_per_file: int) -> None:
-    lines.write.mode("overwrite").option("maxRecordsPerFile", lines_per_file).text(path)
+    folded = fold_copies or "copies" in df.columns
+    if folded:
+        ordered = _sliced_copies(df, order, copies_per_slice).orderBy(*[F.asc_nulls_last(c) for c in [*order, "line", "slice"]])
+    else:
+        ordered = total_order(df, order).withColumn("size", F.lit(1))
+    seen = Observation()
+    found = [F.coalesce(F.sum("size"), F.lit(0)).alias("n_lines")]
+    if key is not None:
+        # Equal neighbours never change the key, so copies are looked at once.
+        ordered = ordered.select("line", "size", F.coalesce(F.trim(key), F.lit("")).alias("key"))
+        ordered = ordered.mapInArrow(with_edges, "line string, size int, edge struct<part: int, first: string, last: string, inside: bigint>")
+        found.append(F.collect_list("edge").alias("edges"))  # one a partition
+    lines = ordered.observe(seen, *found)
+    line = F.explode(F.array_repeat(F.col("line"), F.col("size"))).alias("line") if folded else F.col("line")
+    lines.select(line).write.mode("overwrite").option("maxRecordsPerFile", lines_per_file).text(path)
+    facts = seen.get
+    return Counts(facts["n_lines"], facts["n_lines"] if key is None else counted_runs(facts["edges"]))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

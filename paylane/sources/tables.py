@@ -15,6 +15,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .splits import table_predicates
+
 # Physical table names in the source databases.
 PHYSICAL_NAMES = {
     "txn_header": "mtx_transaction_header",
@@ -104,9 +106,12 @@ def _read(spark: SparkSession, table: str, route: dict) -> DataFrame:
     own = dict(route.get("tables", {}).get(table, {}))
     kind = own.pop("format", route.get("format", "parquet"))
     if kind == "jdbc":
-        # Partitioned reading is per table: by column bounds (reader options) or by a list of predicates.
-        predicates = own.pop("predicates", None)
+        # Partitioned reading is per table: by column bounds (reader options), by a list of predicates, or by ranges of equal
+        # row counts of the column that ``split_by`` names with their number, as {"column": ..., "parts": ...}.
+        predicates, split = own.pop("predicates", None), own.pop("split_by", None)
         options = {"preferTimestampNTZ": "true", **route.get("options", {}), "dbtable": PHYSICAL_NAMES[table], **own}
+        if split:
+            predicates = table_predicates(spark, {k: v for k, v in options.items() if k != "dbtable"}, PHYSICAL_NAMES[table], **split)
         if predicates:
             url, name = options.pop("url"), options.pop("dbtable")
             return spark.read.jdbc(url, name, predicates=predicates, properties=options)
@@ -115,8 +120,20 @@ def _read(spark: SparkSession, table: str, route: dict) -> DataFrame:
     return spark.read.format(kind).options(**{**route.get("options", {}), **own}).load(path)
 
 
+# Histories of which a copy in order of transfer id may be kept, and what that copy goes by among the tables.
+BY_ID = {table: f"{table}.by_id" for table in ("txn_item", "txn_header")}
+
+
 def load_tables(spark: SparkSession, config: dict, route: str = "main") -> dict[str, DataFrame]:
-    """All source tables of one route, conformed. Nothing is read until an extract uses it."""
+    """All source tables of one route, conformed. Nothing is read until an extract uses it.
+
+    A route's ``by_id`` names a folder with copies of ``BY_ID`` tables, written from conformed rows by ``append_by_id`` and kept
+    up to date with them.
+    """
     source = config.get(route) or config["main"]
     empty_text = source.get("empty_text", True)
-    return {table: conform(_read(spark, table, source), table, empty_text) for table in SCHEMAS}
+    tables = {table: conform(_read(spark, table, source), table, empty_text) for table in SCHEMAS}
+    if base := source.get("by_id"):
+        for table, name in BY_ID.items():
+            tables[name] = conform(spark.read.parquet(f"{base.rstrip('/')}/{table}"), table, empty_text=False)
+    return tables

@@ -196,12 +196,12 @@ def test_full_run(spark, tmp_path, demo):
     config = {"main": {"base": str(base), "empty_text": False}}
     shared = Path(shared_dir(spark).removeprefix("file:"))
     before = set(shared.glob("*"))
-    done = report.run(spark, config, JANUARY, str(tmp_path / "out"), "Here", "1.0", datetime(2020, 1, 1))
+    done = report.run(spark, config, JANUARY, str(tmp_path / "out"), "Here", "1.0", datetime(2020, 1, 1), check_replica=False)
     assert set(shared.glob("*")) == before  # what was stored on the way is gone
     written, rows = done.written, done.rows
     printed = parts(done.report_path)
     assert printed[0] == "Generation Date;01/01/2020 00:00:00" and printed[3] == "Country;Here"
-    assert [x.split(";")[0] for x in printed[-7:]] == list(report.OUTPUTS)
+    assert [x.split(";")[0] for x in printed[-8:]] == [*report.OUTPUTS, report.DIGESTS]
     assert [w.name for w in written] == list(report.OUTPUTS)
     for w, r in zip(written, rows.orderBy("position").collect()):
         lines = parts(w.path)
@@ -219,4 +219,15 @@ def test_full_run(spark, tmp_path, demo):
     text = [r.line for r in report.report_lines(report.run_header(spark, JANUARY, "Here", "1.0", 61.0, datetime(2020, 1, 1)), lag, rows).collect()]
     assert text[0] == "Generation Date;01/01/2020 00:00:00" and text[4] == "Duration of treatment;0:01:01;"
     assert text[6:8] == ["", "Control;Date;Lag"]
-    assert [x.split(";")[0] for x in text[-7:]] == list(report.OUTPUTS) and all(x.endswith(";") for x in text[-7:])
+    assert [x.split(";")[0] for x in text[-8:]] == [*report.OUTPUTS, report.DIGESTS] and all(x.endswith(";") for x in text[-8:-1])
+    # The digests: a line per file, and a report row that ends with their size.
+    digests = dict(reversed(x.split("  ")) for x in parts(done.digests.path))
+    files = {f"{w.name}/{f.name}": hashlib.md5(f.read_bytes()).hexdigest() for w in written for f in Path(w.path).glob("part-*")}
+    size = sum(f.stat().st_size for f in Path(done.digests.path).glob("part-*"))
+    assert digests == files and text[-1].split(";")[3:] == [str(size)]
+    # Counts come from the writing: without them they are read, and are the same.
+    again = report.control_report(spark, [w._replace(counts=None) for w in written], report.account_currency_of(demo))
+    counts = lambda table: [(r.output, r.n_lines, r.n_distinct) for r in table.where("n_lines is not null").orderBy("position").collect()]
+    assert counts(again) == counts(rows) and all(w.counts is not None for w in written)
+    plain = report.control_report(spark, written)._jdf.queryExecution().toString()
+    assert "FileScan text" not in plain and "Relation [value" not in plain
