@@ -20,7 +20,7 @@ from ..operators.recency import ActivityMasks
 from ..params import RunParams
 from ..session import prepare, scratch, staged
 from ..sources import file_manifest, load_tables, read_lines, write_lines
-from ..sources.lines import Counts, file_totals
+from ..sources.lines import Counts, file_totals, named_digests
 from . import account, country, customer, transaction
 
 # Output names in report order, and the slices of a line that count as its key (from, length):
@@ -248,12 +248,15 @@ def require_fresh(stats: DataFrame, now: Column) -> None:
 def write_digests(spark: SparkSession, written: list[Written], path: str) -> Written:
     """One line per part file of the outputs: its MD5 and its name, in order of outputs and files."""
     began = datetime.now(timezone.utc)
-    lines = None
-    for position, out in enumerate(written):
-        name = F.concat(F.lit(f"{out.name}/"), "file_name")
-        own = file_manifest(spark, out.path).select(F.lit(position).alias("position"), name.alias("name"), F.concat_ws("  ", "md5", name).alias("line"))
-        lines = own if lines is None else lines.unionByName(own)
-    lines.orderBy("position", "name").select("line").coalesce(1).write.mode("overwrite").text(path)  # a line per file
+    rows = []
+    for out in written:
+        if out.counts is None:  # not digested as it was written
+            files = sorted((r["file_name"], r["md5"]) for r in file_manifest(spark, out.path).select("file_name", "md5").collect())
+        else:
+            files = [(name, md5) for name, md5, _ in named_digests(spark, out.path, out.counts.digests)]
+        rows += [(len(rows) + n, f"{md5}  {out.name}/{name}") for n, (name, md5) in enumerate(files)]  # one a file
+    lines = spark.createDataFrame(rows, "place int, line string")
+    lines.coalesce(1).sortWithinPartitions("place").select("line").write.mode("overwrite").text(path)
     return Written(DIGESTS, path, (datetime.now(timezone.utc) - began).total_seconds())
 
 
