@@ -6,12 +6,17 @@ hashed from term and k, so that no two terms share them; with t = floor(ln w / r
 ln c - r (t - b) - r is drawn, and (term, t) is the sample. Two documents draw the same sample with the probability of
 their generalised Jaccard similarity, the sum of the smaller weights over the sum of the larger. A fingerprint keeps 16
 hashed bits of each sample.
+
+A Gamma(2, 1) is the sum of two exponentials, of which the first is a uniform share: r = s + q and b = s / r. So
+ln c - r (t - b) - r = ln c - q - r t, and what is compared is its exponential, c u exp(-r t) with u = exp(-q) uniform. A
+weight of 1 has t = 0 for every s, which is then not needed.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,44 +30,57 @@ from paylane.session import staged
 
 SAMPLES, SEED = 64, 42
 PAIRS_AT_ONCE, DRAWS_AT_ONCE = 32_768, 128
+ONE, HALF = np.uint32(0x3F800000), np.float32(1 - 2**-24)
 
 
-def uniform(hashes: np.ndarray) -> np.ndarray:
-    """Two inner points of (0, 1) from each 64-bit hash, of 23 bits each, which float32 holds exactly."""
-    bits = hashes.view(np.uint32) >> np.uint32(9)
-    bits |= np.uint32(0x3F800000)
+def uniform(bits: np.ndarray) -> np.ndarray:
+    """Inner points of (0, 1) from numbers of 23 bits, which float32 holds exactly."""
+    bits |= ONE
     points = bits.view(np.float32)
-    points -= np.float32(1 - 2**-24)
+    points -= HALF
     return points
 
 
-def draws(term: np.ndarray, samples: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """r, b and ln c - r + r b for each term and sample; the same in every task."""
-    keys = np.random.default_rng(seed).integers(0, 1 << 64, samples, np.uint64)
-    r, b, rest = (np.empty((len(term), samples), np.float32) for _ in range(3))
+@lru_cache(8)
+def keys_of(samples: int, seed: int) -> np.ndarray:
+    """Odd numbers."""
+    return np.random.default_rng(seed).integers(0, 1 << 64, samples, np.uint64) | np.uint64(1)
+
+
+def seeded(term: np.ndarray, samples: int, seed: int) -> np.ndarray:
+    """64 well mixed bits for each term and sample; the same in every task. Terms are hashes already."""
+    x = term[:, None] * keys_of(samples, seed)
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(32)
+    return x
+
+
+def one_more(x: np.ndarray, factor: int) -> np.ndarray:
+    """One more uniform point from each number."""
+    return uniform((x * np.uint64(factor) >> np.uint64(41)).astype(np.uint32))
+
+
+def draws(term: np.ndarray, samples: int, seed: int) -> np.ndarray:
+    """c u for each term and sample."""
+    out = np.empty((len(term), samples), np.float32)
     for at in range(0, len(term), DRAWS_AT_ONCE):
         part = slice(at, at + DRAWS_AT_ONCE)
-        x = term[part, None] ^ keys
-        for _ in range(2):
-            x ^= x >> np.uint64(32)
-            x *= np.uint64(0xD6E8FEB86659FD93)
-        x ^= x >> np.uint64(32)
-        c = uniform(x)
+        x = seeded(term[part], samples, seed)
+        u = one_more(x, 0x9E3779B97F4A7C15)
+        c = uniform(x.view(np.uint32) >> np.uint32(9))
         c = np.log(c[:, ::2] * c[:, 1::2])
-        np.negative(c, out=c)
-        np.log(c, out=c)
-        x *= np.uint64(0x9E3779B97F4A7C15)
-        x ^= x >> np.uint64(29)
-        x *= np.uint64(0xBF58476D1CE4E5B9)
-        x ^= x >> np.uint64(32)
-        q = uniform(x)
-        q = np.log(q[:, ::2] * q[:, 1::2])
-        np.negative(q, out=r[part])
-        x *= np.uint64(0x94D049BB133111EB)
-        b[part] = uniform(x)[:, 1::2]
-        q *= 1 - b[part]
-        np.add(c, q, out=rest[part])
-    return r, b, rest
+        np.multiply(c, u, out=out[part])
+    np.negative(out, out=out)
+    return out
+
+
+def steps(term: np.ndarray, weight: np.ndarray, samples: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """t and r for terms of weights above 1."""
+    x = seeded(term, samples, seed)
+    q, s = -np.log(one_more(x, 0x9E3779B97F4A7C15)), -np.log(one_more(x, 0xBF58476D1CE4E5B9))
+    r = q + s
+    return np.floor((np.log(weight).astype(np.float32)[:, None] + s) / r), r
 
 
 def terms(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -89,26 +107,30 @@ def fingerprints(texts: list[str], samples: int = SAMPLES, seed: int = SEED) ->
     for at in range(0, len(text), PAIRS_AT_ONCE):
         part = slice(at, at + PAIRS_AT_ONCE)
         own, (used, rows) = text[part], np.unique(place[part], return_inverse=True)
-        r, b, rest = draws(distinct[used], samples, seed)
-        value = rest[rows]
-        often = np.flatnonzero(weight[part] > 1)  # t is 0 for a weight of 1
-        t = np.zeros((len(often) + 1, samples), np.float32)
-        slot = np.full(len(rows), len(often))
-        slot[often] = np.arange(len(often))
-        r = r[rows[often]]
-        t[:-1] = np.floor(np.log(weight[part][often]).astype(np.float32)[:, None] / r + b[rows[often]])
-        value[often] -= r * t[:-1]
-        first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-        least, of = np.minimum.reduceat(value, first), own[first]
-        run = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(own)]))
-        row, col = np.divmod(np.flatnonzero(value == least[run]), samples)
+        table = draws(distinct[used], samples, seed)
         short = ((distinct[used] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
-        code = (short[rows[row]] + t[slot[row], col].astype(np.int32).astype(np.uint32)) * np.uint32(0x85EBCA6B)
-        drawn = np.zeros(least.shape, np.uint16)
-        drawn[run[row], col] = (code >> np.uint32(16)).astype(np.uint16) | np.uint16(1)
-        better = least <= best[of]  # a long text goes on in the next slice; of equal values the last is drawn, as inside one
-        out[of] = np.where(better, drawn, out[of])
-        best[of] = np.where(better, least, best[of])
+        often = np.flatnonzero(weight[part] > 1)  # t is 0 for a weight of 1
+        t, r = steps(distinct[used[rows[often]]], weight[part][often], samples, seed)
+        drop = np.exp(-r * t)
+        bounds = np.r_[np.flatnonzero(np.r_[True, own[1:] != own[:-1]]), len(own)]
+        marks = np.searchsorted(often, bounds)
+        for begin, end, low, high in zip(bounds, bounds[1:], marks, marks[1:]):
+            value = table[rows[begin:end]]
+            heavy = often[low:high] - begin
+            value[heavy] *= drop[low:high]
+            least = value.min(axis=0)
+            row, col = np.divmod(np.flatnonzero(value == least), samples)
+            level = np.zeros(end - begin, np.int64)
+            level[heavy] = np.arange(low + 1, high + 1)
+            of = level[row]
+            step = np.where(of > 0, t[of - 1, col], 0) if high > low else np.zeros(len(row))
+            code = (short[rows[begin + row]] + step.astype(np.int64).astype(np.uint32)) * np.uint32(0x85EBCA6B)
+            drawn = np.zeros(samples, np.uint16)
+            drawn[col] = (code >> np.uint32(16)).astype(np.uint16) | np.uint16(1)
+            doc = own[begin]
+            better = least <= best[doc]  # a long text goes on in the next slice; of equal values the last is drawn, as inside one
+            out[doc] = np.where(better, drawn, out[doc])
+            best[doc] = np.where(better, least, best[doc])
     return out
 
 
