@@ -7,7 +7,7 @@ one after another are one random order of all rows, which the shards cut into ru
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,20 +15,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paylane.llm.common import arrival, offsets
+from paylane.llm.common import Batches, arrival, offsets, tidy
 from paylane.session import broadcast_if_small, staged
 
 BUCKET_BYTES = 32 << 20
+ROWS_AT_ONCE = 4096
 
 
-def shuffled_bucket(seed: int) -> Callable[[pa.Table], pa.Table]:
-    def shuffle(table: pa.Table) -> pa.Table:
+def shuffled_bucket(seed: int) -> Batches:
+    """A whole partition is one bucket, held in memory and permuted."""
+
+    def shuffle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        table = pa.Table.from_batches(held)
         bucket = table.column("bucket")[0].as_py()
         # Rows arrive in any order; a repeated task must permute the same sequence.
         order = np.argsort(table.column("arrived").to_numpy(), kind="stable")
         order = order[np.random.default_rng([seed, bucket]).permutation(len(order))]
-        out = table.select(["bucket", "record"]).take(pa.array(order))
-        return out.append_column("place", pa.array(np.arange(len(order)), pa.int64()))
+        for at in range(0, len(order), ROWS_AT_ONCE):
+            part = table.select(["bucket", "record"]).take(pa.array(order[at : at + ROWS_AT_ONCE]))
+            places = pa.array(np.arange(at, at + part.num_rows), pa.int64())
+            yield from part.append_column("place", places).combine_chunks().to_batches()
 
     return shuffle
 
@@ -46,7 +55,9 @@ def write_shuffled(docs: DataFrame, path: str, seed: int = 7, bucket_bytes: int
     rows = docs.select(F.struct("*").alias("record")).withColumn("arrived", arrival())
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "arrived"), F.lit(buckets)).cast("int"))
     schema = T.StructType([T.StructField("bucket", T.IntegerType()), rows.schema["record"], T.StructField("place", T.LongType())])
-    rows.groupBy("bucket").applyInArrow(shuffled_bucket(seed), schema).write.parquet(path)
+    # As many partitions as buckets, one bucket each, whatever the session's number of shuffle partitions.
+    scattered = rows.repartitionById(buckets, F.col("bucket"))
+    scattered.select("bucket", "arrived", "record").mapInArrow(tidy(shuffled_bucket(seed)), schema).write.parquet(path)
     return buckets
 
 
