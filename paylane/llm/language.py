@@ -15,11 +15,12 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paylane.llm.common import held_out, split_words, tidy
+from paylane.llm.common import Batches, held_out, split_words, tidy
+from paylane.session import broadcast_if_small, staged
 
 BUCKETS, CHAIN, MEMO, ROWS = 1 << 17, 128, 400_000, 1000
 # Bounds of the training sample: documents a language, and chains of CHAIN words a document.
@@ -186,20 +187,40 @@ def train(samples: list[tuple[str, str]], steps: int = 40, rate: float = 0.15, d
     return Field(key, labels, theta[:size].reshape(-1, k).astype(np.float32), theta[size : size + k * k].reshape(k, k), theta[size + k * k :])
 
 
+def some_chains(seed: int) -> Batches:
+    """At most CHAINS chains of each text, drawn by the text itself, so that no whole text travels."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs, out = [], []
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+                words = text.split()
+                starts = np.arange(0, len(words), CHAIN)
+                drawn = np.random.default_rng([seed, zlib.crc32(text.encode("utf-8", "surrogatepass"))]).permutation(starts)[:CHAINS]
+                out += [" ".join(words[at : at + CHAIN]) for at in drawn.tolist()]
+                langs += [lang] * len(drawn)
+            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(out, pa.string())], ["lang", "text"])
+
+    return work
+
+
 def fit(docs: DataFrame, documents: int = DOCUMENTS, seed: int = 9) -> Field | None:
     """Learn from at most ``documents`` rows of each language outside the held-out fold (the first by a seeded hash of the id).
 
     Rows without language, text or id teach nothing; None if no row is left.
     """
     ours = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).where("lang is not null and text is not null")
-    ours = ours.select("doc_id", "lang", "text")
-    order = F.xxhash64(F.lit(seed), "doc_id")
-    samples = []
-    for lang in sorted(r["lang"] for r in ours.select("lang").distinct().collect()):  # a row per language
-        ids = ours.where(F.col("lang") == lang).select("doc_id").distinct().orderBy(order, "doc_id").limit(documents)
-        rows = ours.where(F.col("lang") == lang).join(F.broadcast(ids), "doc_id")
-        samples += sorted((r["text"], lang) for r in rows.collect()[: 2 * documents])
-    return train(samples)
+    # One scan picks each language's ids: a row repeated, or an id with several texts, is one candidate, its least text hash.
+    order = F.struct(F.xxhash64(F.lit(seed), "doc_id").alias("at"), "doc_id", F.xxhash64("text").alias("key"))
+    ids = ours.groupBy("lang", "doc_id").agg(F.min(order).alias("o"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("o"))
+    ids = ids.withColumn("place", place).where(F.col("place") <= documents).select("lang", "doc_id", F.col("o.key").alias("key"))
+    ids = staged(ids, "language-sample")
+    # The second brings one row for each: of equal rows any, as their texts are equal.
+    rows = ours.withColumn("key", F.xxhash64("text")).join(broadcast_if_small(ids), ["lang", "doc_id", "key"])
+    rows = rows.groupBy("lang", "doc_id").agg(F.min("text").alias("text"))
+    chains = rows.select("lang", "text").mapInArrow(tidy(some_chains(seed)), "lang string, text string")
+    return train(sorted((r["text"], r["lang"]) for r in chains.collect()))  # CHAINS * CHAIN words a document at most
 
 
 # ---------------------------------------------------------------- labelling

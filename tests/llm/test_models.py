@@ -170,3 +170,20 @@ def test_language_of_odd_tables(odd, none, clash, docs_of, lang):
         assert Counter(r["doc_id"] for r in rows) == Counter(r["doc_id"] for r in docs.collect())
         empty = {r["doc_id"] for r in docs.collect() if not any(map(str.isalpha, r["text"] or ""))}
         assert all(r["lang_pred"] == "und" and r["score"] == 0 for r in rows if r["doc_id"] in empty)
+
+
+def test_language_sample_is_bounded_by_rows(spark, docs_of, monkeypatch):
+    """An id that repeats over most rows is one candidate, of long texts three chains are taken, and the table is read twice."""
+    rows = [(i, f"ein kleiner satz {i} über das haus", "de") for i in range(40)] + [(i, f"a little sentence {i} about the house", "en") for i in range(40, 80)]
+    rows += [(81, f"der lange text {i % 7} " * 200, "de") for i in range(600)]
+    docs = docs_of(rows)
+    taken, scans = [], []
+    train = language.train
+    monkeypatch.setattr(language, "train", lambda samples, **how: taken.append(samples) or train(samples, **how))
+    store = language.staged
+    monkeypatch.setattr(language, "staged", lambda df, name: scans.append(name) or store(df, name))
+    fields = [language.fit(docs.repartition(n)) for n in (1, 5)]
+    assert taken[0] == taken[1] and fields[0].key == fields[1].key
+    long = [text for text, lang in taken[0] if text.startswith(("der lange", "lange", "text"))]
+    assert len(long) <= language.CHAINS and all(len(t.split()) <= language.CHAIN for t, _ in taken[0])
+    assert scans == ["language-sample"] * 2
