@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paylane.llm.common import broadcast_within
 from paylane.session import broadcast_if_small, staged
 
 WINDOW, SHINGLE = 10, 3
@@ -109,6 +110,7 @@ def with_contamination(docs: DataFrame, benchmark: DataFrame, **how) -> DataFram
     rows = docs.select(F.struct("*").alias("row"))
     n_words = F.regexp_count(F.coalesce("row.text", F.lit("")), F.lit(WORD)).cast("long").alias("n_words")
     rows = rows.select("row", *text_key(F.col("row.text")), n_words)
-    found = broadcast_if_small(staged(contamination(docs, benchmark, **how), "contamination"), rows=200_000)
+    text_bytes = F.aggregate("items", F.lit(0), lambda a, x: a + F.octet_length(x) + 16)
+    found = broadcast_within(staged(contamination(docs, benchmark, **how), "contamination"), F.lit(48) + text_bytes)
     out = rows.join(found, ["k1", "k2"], "left")
     return out.select("row", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))

@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paylane.llm.common import broadcast_within
 from paylane.session import broadcast_if_small, staged
 
 MIN_CHARS, BLOCK = 1, 32
@@ -127,7 +128,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, block: int = BLOCK)
     names = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
     rows = docs.select(F.struct(*names).alias("row"))
     rows = rows.withColumn("_ord", F.coalesce(F.col("row.doc_id").cast("long"), F.lit(LAST))).withColumn("_dk", F.xxhash64("row.doc_id", "row.text"))
-    drops = broadcast_if_small(drops.select(F.col("ord").alias("_ord"), F.col("dk").alias("_dk"), "drops"))
+    drops = broadcast_within(drops.select(F.col("ord").alias("_ord"), F.col("dk").alias("_dk"), "drops"), F.lit(40) + 4 * F.size("drops"))
     rows = rows.join(drops, ["_ord", "_dk"], "left").withColumn("lines", F.split("row.text", "\n"))
     kept = F.filter("lines", lambda line, i: ~F.array_contains("drops", i))
     text = F.when(F.col("drops").isNull(), F.col("row.text")).otherwise(F.array_join(kept, "\n"))
