@@ -22,9 +22,14 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that an earlier document, or the same, has had; ``n_chars`` follows the text."""
+    """Documents without lines that an earlier document, or the same, has had; ``n_chars`` follows the text.
+
+    A document of which no word is left, though it had some, is a copy throughout and goes. One that was empty stays as it is.
+    """
     prepare(spark)
-    kept = line_dedup.dedup_lines(docs).select(*docs.columns)
+    found = line_dedup.dedup_lines(docs)
+    emptied = (F.col("n_dropped") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    kept = found.where(~F.coalesce(emptied, F.lit(False))).select(*docs.columns)
     if "n_chars" not in docs.columns:
         return kept
     counted = F.when(F.col("text").isNotNull(), F.char_length("text").cast(docs.schema["n_chars"].dataType))
