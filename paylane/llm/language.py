@@ -212,7 +212,11 @@ def fit(docs: DataFrame, documents: int = DOCUMENTS, seed: int = 9) -> Field | N
     ours = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).where("lang is not null and text is not null")
     # One scan picks each language's ids: a row repeated, or an id with several texts, is one candidate, its least text hash.
     order = F.struct(F.xxhash64(F.lit(seed), "doc_id").alias("at"), "doc_id", F.xxhash64("text").alias("key"))
-    ids = ours.groupBy("lang", "doc_id").agg(F.min(order).alias("o"))
+    ids = staged(ours.groupBy("lang", "doc_id").agg(F.min(order).alias("o")), "language-ids")
+    # Hashes are even, so the first ``documents`` of a language lie below this cut; only what does is ranked in one task.
+    counts = ids.groupBy("lang").agg(F.count("*").alias("n"))
+    ids = ids.join(broadcast_if_small(staged(counts, "language-counts")), "lang")
+    ids = ids.where(F.col("o.at").cast("double") / 2.0**64 + 0.5 < F.lit(4.0 * documents) / F.col("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("o"))
     ids = ids.withColumn("place", place).where(F.col("place") <= documents).select("lang", "doc_id", F.col("o.key").alias("key"))
     ids = staged(ids, "language-sample")

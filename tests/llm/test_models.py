@@ -177,13 +177,16 @@ def test_language_sample_is_bounded_by_rows(spark, docs_of, monkeypatch):
     rows = [(i, f"ein kleiner satz {i} über das haus", "de") for i in range(40)] + [(i, f"a little sentence {i} about the house", "en") for i in range(40, 80)]
     rows += [(81, f"der lange text {i % 7} " * 200, "de") for i in range(600)]
     docs = docs_of(rows)
-    taken, scans = [], []
+    taken, ranked = [], []
     train = language.train
     monkeypatch.setattr(language, "train", lambda samples, **how: taken.append(samples) or train(samples, **how))
     store = language.staged
-    monkeypatch.setattr(language, "staged", lambda df, name: scans.append(name) or store(df, name))
+    monkeypatch.setattr(language, "staged", lambda df, name: ranked.append(store(df, name)) or ranked[-1])
+    monkeypatch.setattr(language, "DOCUMENTS", 300)
     fields = [language.fit(docs.repartition(n)) for n in (1, 5)]
     assert taken[0] == taken[1] and fields[0].key == fields[1].key
     long = [text for text, lang in taken[0] if text.startswith(("der lange", "lange", "text"))]
     assert len(long) <= language.CHAINS and all(len(t.split()) <= language.CHAIN for t, _ in taken[0])
-    assert scans == ["language-sample"] * 2
+    ranked.clear()
+    language.fit(docs, documents=3)
+    assert ranked[-1].count() == 6 and ranked[0].count() > 50  # of each language three, out of all its ids
