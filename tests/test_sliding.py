@@ -37,26 +37,26 @@ def rows(df):
 
 
 def test_every_window_equals_the_ledger(spark, ledger, network):
-    totals = sliding.SlidingTotals(spark, work_dir(spark, "totals"), days=7)
-    for n in range(24):
+    totals = sliding.SlidingTotals(spark, work_dir(spark, "totals"), days=5)
+    for n in range(13):
         day = START + n * DAY
         sliding.add_days(totals, ledger, [day])
-        if n >= 6:
+        if n >= 4:
             got = sliding.sliding_profile(totals, network, day + DAY)
-            assert rows(got) == rows(activity.activity_profile(ledger.where(F.col("transfer_date") < F.lit(str(day + DAY)).cast("timestamp_ntz")), network, day + DAY, 7)), n
+            assert rows(got) == rows(activity.activity_profile(ledger.where(F.col("transfer_date") < F.lit(str(day + DAY)).cast("timestamp_ntz")), network, day + DAY, 5)), n
     borders = file_names(spark, f"{totals.path}/older")
-    assert len(borders) == 3 and len(file_names(spark, f"{totals.path}/older/{borders[0]}")) == 7  # built once per window length
+    assert len(borders) == 2 and len(file_names(spark, f"{totals.path}/older/{borders[0]}")) == 5  # built once per window length
 
 
 def test_a_window_reads_two_tables_and_the_ledger_not_at_all(spark, ledger, network):
-    totals = sliding.SlidingTotals(spark, work_dir(spark, "totals"), days=30)
-    sliding.add_days(totals, ledger, [START + n * DAY for n in range(50)])
-    totals.window(START + 40 * DAY).count()
-    found = totals.window(START + 49 * DAY)
+    totals = sliding.SlidingTotals(spark, work_dir(spark, "totals"), days=9)
+    sliding.add_days(totals, ledger, [START + n * DAY for n in range(14)])
+    totals.window(START + 9 * DAY).count()
+    found = totals.window(START + 13 * DAY)
     folders = {f.rsplit("/", 2)[1] for f in found.inputFiles()} if found.inputFiles() else set()
     assert len(folders) <= 2 and all("/daily/" not in f for f in found.inputFiles())
-    assert rows(sliding.sliding_profile(totals, network, START + 50 * DAY)) == rows(
-        activity.activity_profile(ledger.where(F.col("transfer_date") < F.lit(str(START + 50 * DAY)).cast("timestamp_ntz")), network, START + 50 * DAY, 30))
+    assert rows(sliding.sliding_profile(totals, network, START + 14 * DAY)) == rows(
+        activity.activity_profile(ledger.where(F.col("transfer_date") < F.lit(str(START + 14 * DAY)).cast("timestamp_ntz")), network, START + 14 * DAY, 9))
 
 
 def test_a_day_given_again_replaces_its_partial(spark, ledger, network):
