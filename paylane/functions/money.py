@@ -22,4 +22,4 @@ def money_text(c: Column) -> Column:
 
 def padded_id(c: Column) -> Column:
     """Three digits with leading zeros; a longer number prints as ``#``, never cut."""
-    return F.to_char(c.cast("decimal(5,0)"), F.lit(ID_FORMAT))
+    return F.to_char(c.cast("decimal(38,0)"), F.lit(ID_FORMAT))

@@ -48,6 +48,12 @@ def test_padded_id_never_cuts(one):
     assert "#" in one(fx.padded_id, 1234, kinds=["int"])
 
 
+def test_padded_id_takes_numbers_of_any_length(one):
+    for long in (99_999, 100_000, 9_223_372_036_854_775_807):
+        assert one(fx.padded_id, long, kinds=["long"]) == "###"
+    assert one(fx.padded_id, 999, kinds=["long"]) == "999" and one(fx.padded_id, None, kinds=["long"]) is None
+
+
 def test_sentinel_date(one):
     assert [one(fx.sentinel_date, v) for v in ("00000000", "20000131", None)] == ["19000101", "20000131", " " * 8]
 
