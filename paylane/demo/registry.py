@@ -78,14 +78,14 @@ def whole_items(t: Tables) -> DataFrame:
 
 
 def whole_ledger(t: Tables, all_states: bool = True) -> DataFrame:
-    return transaction.ledger(t, WHOLE, all_states, transaction.run_legs(t, WHOLE))
+    return transaction.ledger(t, WHOLE, all_states, transaction.ledger_legs(t, WHOLE))
 
 
 def raw_transfers(t: Tables) -> DataFrame:
     """Transfers ``copies`` times each; queries multiply their own few columns."""
     headers = ledger.header_slice(t["txn_header"], WHOLE.ledger_start, WHOLE.end)
     people = parties.with_domain(parties.resolve_parties(t, "party"), t["category"])
-    return ledger.assemble_ledger(ledger.open_transfers(headers, transaction.run_legs(t, WHOLE), t), people, t)
+    return ledger.assemble_ledger(ledger.open_transfers(headers, transaction.ledger_legs(t, WHOLE), t), people, t)
 
 
 # ---------------------------------------------------------------- sources and layouts
@@ -472,7 +472,8 @@ def a_volume_class(t):
     f"select transfer_id, kind, s_wallet as sender_wallet, r_wallet as receiver_wallet, {sql_dbl('charged')} as total_charge from ora_pairs",
 )
 def w_total_charge(t):
-    legs = transaction.run_legs(t, WHOLE)
+    # Pairs are asked for their wallets here, and charges are told by the service.
+    legs = transaction.run_legs(t, WHOLE, carried=("wallet_number", "service_type"))
     x = ledger.total_charge(ledger.pair_legs(legs), legs, lookups.currency_factor(t))
     return expanded(x.select("transfer_id", "kind", "sender_wallet", "receiver_wallet", dbl(F.round("total_charge", 2)).alias("total_charge"), "copies"))
 

@@ -194,7 +194,7 @@ def extracts(main: dict[str, DataFrame], accounts: dict[str, DataFrame], p: RunP
         """The window's legs of one source, stored when first asked for; one source's serve all extracts."""
         name = "main" if tables is main else name
         if name not in window:
-            window[name] = transaction.run_legs(tables, p)
+            window[name] = transaction.ledger_legs(tables, p)
         return window[name]
 
     users = lambda: once("users", lambda: customer.run_users(main, p, masks))

@@ -19,7 +19,7 @@ from ..functions import (
 from ..operators.geography import account_currency, contra_currency, derive_geography, display_currency, with_mapped_currency
 from ..operators.layout import Field, blanks, fixed_width, quoted_pipe, reserved
 from ..operators.ledger import assemble_ledger, header_slice, in_run, open_transfers, settled_only, two_sided
-from ..operators.legs import Legs, store_legs
+from ..operators.legs import Legs, carrying, ledger_items, store_legs
 from ..operators.lookups import lookup
 from ..operators.parties import OUTPUT_TYPES, maybe_key, resolve_parties, with_domain
 from ..operators.tags import match_rules
@@ -31,9 +31,15 @@ ORDER = ["customer", "business_type", "account_no", "business_no", "currency", "
 NO_ACCOUNT, NO_PHONE = "XXXX", "XXXXXXXX"
 
 
-def run_legs(t: dict[str, DataFrame], p: RunParams) -> Legs:
-    """The legs of the ledger window, stored for all that pair them."""
-    return store_legs(in_run(t["txn_item"], p.ledger_start, p.end))
+def run_legs(t: dict[str, DataFrame], p: RunParams, carried: tuple[str, ...] | None = None) -> Legs:
+    """The legs of the ledger window, stored for all that pair them; ``carried``: all that these ask of them, besides their keys."""
+    items = in_run(t["txn_item"], p.ledger_start, p.end)
+    return store_legs(items if carried is None else carrying(items, carried))
+
+
+def ledger_legs(t: dict[str, DataFrame], p: RunParams) -> Legs:
+    """Same with what a ledger and its moving wallets ask of them: main legs, and the keys of charges."""
+    return store_legs(ledger_items(in_run(t["txn_item"], p.ledger_start, p.end)))
 
 
 def ledger(t: dict[str, DataFrame], p: RunParams, all_states: bool = False, legs: Legs | None = None) -> DataFrame:

@@ -100,3 +100,33 @@ def test_a_run_stores_the_legs_of_a_source_once(spark, monkeypatch, tmp_path):
         legs.store_legs(whole_items(t))
         during = spark.sql("show tables").count()
     assert spark.sql("show tables").count() == during - 1
+
+
+def test_legs_are_exchanged_once(spark, monkeypatch):
+    items, plans = whole_items(demo_tables(spark, SF)), []
+    write = type(items).write
+    monkeypatch.setattr(type(items), "write", property(lambda df: plans.append(final(df)) or write.fget(df)))
+    legs.store_legs(items)
+    assert len([x for x in plans[-1].splitlines() if "Exchange hashpartitioning" in x and "kind" in x]) == 1
+
+
+def test_a_ledger_stores_main_legs_and_the_keys_of_charges(spark):
+    t = demo_tables(spark, SF)
+    items, factor = whole_items(t), lookups.currency_factor(t)
+    doubled = items.unionByName(items.where("transaction_type in ('MR', 'SCP')"))
+    stored = legs.store_legs(legs.ledger_items(doubled))
+    assert {r.kind for r in stored.table.select("kind").distinct().collect()} == {"MR", "SCR"}
+    assert stored.table.where("kind = 'SCR' and coalesce(wallet_number, account_id, txn_mode, service_type) is not null").isEmpty()
+    assert rows(ledger.charge_totals(stored, factor)) == rows(ledger.charge_totals(doubled, factor))
+    plain = ledger.main_pairs(doubled)
+    assert rows(legs.expanded(ledger.main_pairs(stored)).select(sorted(set(plain.columns) - {"copies"}))) == rows(plain.select(sorted(set(plain.columns) - {"copies"})))
+
+
+def test_pairs_of_legs_that_carry_less(spark):
+    t = demo_tables(spark, SF)
+    few = transaction.run_legs(t, WHOLE, carried=("wallet_number", "service_type"))
+    assert not {"txn_mode", "account_id", "requested_value"} & {*few.table.columns}
+    asked = ["kind", "transfer_id", "sender_wallet", "receiver_wallet", "total_charge"]
+    factor, items = lookups.currency_factor(t), whole_items(t)
+    plain = ledger.total_charge(ledger.pair_legs(items), items, factor).select(asked)
+    assert rows(legs.expanded(ledger.total_charge(ledger.pair_legs(few), few, factor).select(*asked, "copies"))) == rows(plain)
