@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import replace
 from datetime import datetime
 
@@ -683,14 +683,31 @@ def t_late(t):
     return ledger.pair_legs(ledger.items_of(t["txn_item"], late, t.get(BY_ID["txn_item"]))).select("transfer_id", "kind", "sender_wallet", "receiver_wallet")
 
 
+class TablesById(Mapping):
+    """The payments tables with copies of items and headers in order of transfer id, kept for the query; each is built when first used."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._tables, self._copies = spark, demo_tables(spark, sf_dir), {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        table = next((table for table, copy in BY_ID.items() if copy == name), None)
+        if table is None:
+            return self._tables[name]
+        if name not in self._copies:
+            rows, path = self._tables[table], f"{work_dir(self._spark, 'by-id')}/{table}"
+            append_by_id(rows, path)
+            self._copies[name] = self._spark.read.schema(rows.schema).parquet(path)
+        return self._copies[name]
+
+    def __iter__(self):
+        return iter([*self._tables, *BY_ID.values()])
+
+    def __len__(self):
+        return len(self._tables) + len(BY_ID)
+
+
 def tables_by_id(spark: SparkSession, sf_dir: str) -> Tables:
-    """The payments tables with copies of items and headers in order of transfer id, kept for the query."""
-    t = dict(demo_tables(spark, sf_dir))
-    base = work_dir(spark, "by-id")
-    for table, name in BY_ID.items():
-        append_by_id(t[table], f"{base}/{table}")
-        t[name] = spark.read.schema(t[table].schema).parquet(f"{base}/{table}")
-    return t
+    return TablesById(spark, sf_dir)
 
 
 @raw_query("t_late_by_id", LATE_PAIRS)

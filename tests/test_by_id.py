@@ -96,3 +96,12 @@ def test_late_items_and_wallets_without_the_history(spark):
     for name in ("j_activity", "j_unregistered", "c_account", "c_account_ext"):
         assert sorted(map(str, registry.BUILDERS[name](t).collect())) == sorted(map(str, registry.BUILDERS[name](plain).collect())), name
     assert customer.run_users(t, YEAR).count() == customer.run_users(plain, YEAR).count()
+
+
+def test_copies_of_the_payments_tables_are_built_when_asked_for(spark, monkeypatch):
+    written, append = [], registry.append_by_id
+    monkeypatch.setattr(registry, "append_by_id", lambda rows, path: written.append(path.rsplit("/", 1)[1]) or append(rows, path))
+    found = registry.j_active_wallets_by_id(spark, "/root/testdata/sf0.001")
+    assert written == ["txn_header"] and found.count() > 0
+    registry.t_late_by_id(spark, "/root/testdata/sf0.001")
+    assert written == ["txn_header", "txn_item"]
