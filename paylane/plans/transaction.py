@@ -18,12 +18,13 @@ from ..functions import (
 )
 from ..operators.geography import account_currency, contra_currency, derive_geography, display_currency, with_mapped_currency
 from ..operators.layout import Field, blanks, fixed_width, quoted_pipe, reserved
-from ..operators.ledger import assemble_ledger, header_slice, in_run, open_transfers, settled_only, two_sided
-from ..operators.legs import Legs, carrying, ledger_items, store_legs
+from ..operators.ledger import assemble_ledger, header_slice, in_run, items_of, open_transfers, settled_only, two_sided
+from ..operators.legs import MAIN_KINDS, Legs, carrying, ledger_items, store_legs
 from ..operators.lookups import lookup
 from ..operators.parties import OUTPUT_TYPES, maybe_key, resolve_parties, with_domain
 from ..operators.tags import match_rules
-from ..params import RunParams
+from ..params import ALL, RunParams
+from ..session import staged
 
 ORDER = ["customer", "business_type", "account_no", "business_no", "currency", "entry_date", "value_date", "transfer_no"]
 
@@ -42,15 +43,25 @@ def ledger_legs(t: dict[str, DataFrame], p: RunParams) -> Legs:
     return store_legs(ledger_items(in_run(t["txn_item"], p.ledger_start, p.end)))
 
 
+def phone_items(items: DataFrame, msisdn: str) -> DataFrame:
+    """All legs, as a ledger asks for them, of the transfers in which a main leg is of the phone; stored, as they are few."""
+    mine = items.where(F.col("transaction_type").isin(*MAIN_KINDS) & (F.col("account_id") == msisdn))
+    return staged(items_of(ledger_items(items), mine), "phone-items")
+
+
 def ledger(t: dict[str, DataFrame], p: RunParams, all_states: bool = False, legs: Legs | None = None) -> DataFrame:
     """The window's transfers with geography and tag, ``copies`` times each; both transaction extracts start from it.
 
-    They report settled transfers alone, so the others are left out at the header scan.
+    They report settled transfers alone, so the others are left out at the header scan. A run for one phone number reports
+    that phone's sides, so without stored legs only its transfers are assembled.
     """
     headers = header_slice(t["txn_header"], p.ledger_start, p.end)
     if not all_states:
         headers = settled_only(headers)
     items = in_run(t["txn_item"], p.ledger_start, p.end) if legs is None else legs
+    if legs is None and p.msisdn != ALL:
+        items = phone_items(items, p.msisdn)
+        headers = items_of(headers, items)
     transfers = open_transfers(headers, items, t)
     parties = with_domain(resolve_parties(t, "party"), t["category"])
     located = derive_geography(assemble_ledger(transfers, parties, t), t).drop("as_of_date")

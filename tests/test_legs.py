@@ -2,6 +2,7 @@
 
 import random
 from collections import Counter
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -130,3 +131,13 @@ def test_pairs_of_legs_that_carry_less(spark):
     factor, items = lookups.currency_factor(t), whole_items(t)
     plain = ledger.total_charge(ledger.pair_legs(items), items, factor).select(asked)
     assert rows(legs.expanded(ledger.total_charge(ledger.pair_legs(few), few, factor).select(*asked, "copies"))) == rows(plain)
+
+
+def test_a_phone_run_assembles_its_own_transfers(spark):
+    t = demo_tables(spark, SF)
+    whole = transaction.extract_transaction(t, WHOLE, whole_ledger(t, all_states=False))
+    phone = replace(WHOLE, msisdn="22S3")
+    wanted = transaction.extract_transaction(t, phone, whole_ledger(t, all_states=False))
+    found = transaction.extract_transaction(t, phone)
+    assert rows(legs.expanded(found.select("line", "copies"))) == rows(legs.expanded(wanted.select("line", "copies")))
+    assert 0 < transaction.ledger(t, phone).count() < whole.count() / 4
