@@ -69,4 +69,9 @@ def rows_of(table: DataFrame, ids: DataFrame, key: str = "transfer_id") -> DataF
     if n <= LOTS * IDS_BY_VALUE:
         parts = [table.where(F.col(key).isin(lot)) for lot in lots_of(wanted, key, n)]
         return reduce(DataFrame.unionByName, parts)
-    return table.where(inside(F.col(key), spans_of(wanted, key))).join(broadcast_if_small(wanted), key, "left_semi")
+    spans = spans_of(wanted, key)
+    found = table.where(inside(F.col(key), spans)).join(broadcast_if_small(wanted), key, "left_semi")
+    # The spans are for this scan alone. On a bare key, Catalyst would test them on all that is joined to the rows as well, dozens of
+    # comparisons a row, each with the key computed anew where it is an expression; so the key is given out as one (always itself).
+    same = F.when(F.col(key) >= F.lit(min(least for least, _ in spans)), F.col(key))
+    return found.select(*[same.alias(c) if c == key else F.col(c) for c in found.columns])

@@ -105,3 +105,16 @@ def test_copies_of_the_payments_tables_are_built_when_asked_for(spark, monkeypat
     assert written == ["txn_header"] and found.count() > 0
     registry.t_late_by_id(spark, "/root/testdata/sf0.001")
     assert written == ["txn_header", "txn_item"]
+
+
+def test_spans_are_not_tested_on_what_the_rows_are_joined_to(spark, monkeypatch):
+    monkeypatch.setattr(by_id, "IDS_BY_VALUE", 10)
+    path = work_dir(spark, "spans")
+    ids = spark.range(1000).select(F.format_string("CI%06d", "id").alias("transfer_id"))
+    append_by_id(ids, path)
+    found = rows_of(spark.read.schema(ids.schema).parquet(path), ids.where("transfer_id < 'CI000500'"))
+    other = spark.range(2000).select(F.format_string("CI%06d", "id").alias("transfer_id"), "id")
+    joined = other.join(found, "transfer_id", "left_semi")
+    tests = [x for x in joined._jdf.queryExecution().optimizedPlan().toString().splitlines() if ">=" in x]
+    assert tests and not [x for x in tests if "format_string" in x]
+    assert joined.count() == 500
