@@ -111,6 +111,23 @@ def test_legs_are_exchanged_once(spark, monkeypatch):
     assert len([x for x in plans[-1].splitlines() if "Exchange hashpartitioning" in x and "kind" in x]) == 1
 
 
+def test_buckets_grow_with_the_legs(spark, monkeypatch):
+    items = whole_items(demo_tables(spark, SF))
+    monkeypatch.setattr(legs, "BUCKET_ROWS", 500, raising=False)
+    doubled = items.unionByName(items.where("transaction_type in ('MR', 'SCP')"))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key, None)
+    stored = legs.store_legs(doubled)
+    assert spark.conf.get(key, None) == before
+    sizes = [r["count"] for r in stored.table.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) > 8 and max(sizes) < 1000
+    assert stored.table.agg(F.max("copies")).first()[0] >= 2
+    pairs, plain = ledger.pair_legs(stored), ledger.pair_legs(doubled)
+    assert not [x for x in final(pairs).splitlines() if "Exchange hashpartitioning" in x and "kind" in x]
+    columns = sorted(set(plain.columns) - {"copies"})
+    assert rows(legs.expanded(pairs).select(columns)) == rows(plain.select(columns))
+
+
 def test_a_ledger_stores_main_legs_and_the_keys_of_charges(spark):
     t = demo_tables(spark, SF)
     items, factor = whole_items(t), lookups.currency_factor(t)
