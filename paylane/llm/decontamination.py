@@ -16,9 +16,10 @@ from paylane.session import broadcast_if_small, staged
 
 WINDOW, SHINGLE = 10, 3
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# Before lower-casing: what lies between words, and words.
-BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# Before lower-casing: what lies between words, and words. ASCII characters are listed one by one, which a matcher looks up in a
+# table; ranges it tries one after the other.
+BETWEEN_CHARS = "".join(f"\\x{c:02X}" for c in range(128) if not chr(c).isalnum())
+BETWEEN, WORD = f"[{BETWEEN_CHARS}]+", f"[^{BETWEEN_CHARS}]+"
 
 
 def ascii_lower(text: Column) -> Column:
@@ -30,6 +31,15 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), BETWEEN), "")
 
 
+def count_words(text: Column) -> Column:
+    """Number of words, without listing them: a word and what follows it up to the next becomes one letter.
+
+    A word in front takes up what stands before the first.
+    """
+    rest = F.regexp_replace(F.concat(F.lit("x "), F.coalesce(text, F.lit(""))), f"{WORD}[{BETWEEN_CHARS}]*", "x")
+    return (F.octet_length(rest) - 1).cast("long")
+
+
 def shingles(words: str, m: int) -> Column:
     """Array of hashes of the ``m`` words from each place on; the last m - 1 lack words and must not be used."""
     return F.transform(words, lambda _, i: F.xxhash64(F.lit(m), *(F.get(F.col(words), i + k) for k in range(m))))
@@ -108,8 +118,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 def with_contamination(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """(row, n_words, n_hit, items) for every row of ``docs`` (a struct of all its columns). A null text has no words."""
     rows = docs.select(F.struct("*").alias("row"))
-    n_words = F.regexp_count(F.coalesce("row.text", F.lit("")), F.lit(WORD)).cast("long").alias("n_words")
-    rows = rows.select("row", *text_key(F.col("row.text")), n_words)
+    rows = rows.select("row", *text_key(F.col("row.text")), count_words(F.col("row.text")).alias("n_words"))
     text_bytes = F.aggregate("items", F.lit(0), lambda a, x: a + F.octet_length(x) + 16)
     found = broadcast_within(staged(contamination(docs, benchmark, **how), "contamination"), F.lit(48) + text_bytes)
     out = rows.join(found, ["k1", "k2"], "left")

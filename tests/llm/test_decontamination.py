@@ -71,3 +71,12 @@ def test_given_documents(spark):
     assert any(r[2] for r in result)
     plan = with_contamination(docs, bench)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_words_are_counted_without_being_listed(docs_of, bench_of):
+    texts = [None, "", " ", "x", "  x", "x  ", ".,;", "\n\ta b\x00c\x7f", "É_é ß,ÿ", "𝄞𝄞 \U0010ffff-a1", "x x x", "a" * 5000 + " ?" * 5000, " " * 200_000, "-a-" * 3]
+    docs = docs_of(list(enumerate(texts)))
+    found = with_contamination(docs, bench_of([(1, "one two")])).select("row.doc_id", "n_words")
+    assert dict(map(tuple, found.collect())) == {n: len(words(t)) for n, t in enumerate(texts)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_count" not in plan and "regexp_extract_all" not in plan
