@@ -1,6 +1,7 @@
 """Legs stored once: equal ones as a number, joined and counted where they lie."""
 
 import random
+import re
 from collections import Counter
 from dataclasses import replace
 
@@ -10,7 +11,7 @@ from paylane.demo.registry import WHOLE, whole_items, whole_ledger
 from paylane.demo.tables import demo_tables
 from paylane.operators import ledger, legs, lookups
 from paylane.plans import control, transaction
-from paylane.session import scratch, work_dir
+from paylane.session import scratch, settings, work_dir
 from paylane.sources import read_lines
 from tests.test_ledger import RUN, world
 from tests.test_session import plan_of
@@ -128,6 +129,28 @@ def test_buckets_grow_with_the_legs(spark, monkeypatch):
     assert rows(legs.expanded(pairs).select(columns)) == rows(plain.select(columns))
 
 
+def test_joins_of_legs_get_as_many_partitions_as_these_have_buckets(spark, monkeypatch):
+    t, key = demo_tables(spark, SF), "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    monkeypatch.setattr(legs, "BUCKET_ROWS", 500)
+    with settings(spark, {key: "8"}):
+        stored = transaction.run_legs(t, WHOLE)
+        buckets = legs.bucket_count(whole_items(t))
+        totals = ledger.total_charge(ledger.pair_legs(stored), stored, lookups.currency_factor(t))
+        with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+            totals.collect()
+            plan = totals._jdf.queryExecution().executedPlan().toString()
+        spark.conf.set(key, str(10 * buckets))
+        legs.store_legs(whole_items(t))
+        assert spark.conf.get(key) == str(10 * buckets)
+    assert buckets > 8
+    assert {int(n) for n in re.findall(r"hashpartitioning\(transfer_id#\d+, (\d+)\)", plan)} == {buckets}
+
+
+def test_stored_legs_are_packed_closely(spark):
+    stored = legs.store_legs(whole_items(demo_tables(spark, SF)))
+    assert all(".zstd." in name for name in stored.table.inputFiles())
+
+
 def test_a_ledger_stores_main_legs_and_the_keys_of_charges(spark):
     t = demo_tables(spark, SF)
     items, factor = whole_items(t), lookups.currency_factor(t)
