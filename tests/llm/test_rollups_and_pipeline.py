@@ -2,13 +2,14 @@
 
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as contract
 import check
 import corpus_pipeline
 from paylane.llm import queries, rollups
-from paylane.session import work_dir
+from paylane.session import settings, work_dir
 from tests.llm.conftest import SF
 
 DELTAS = "source string, lang string, version string, n_docs long, n_tokens long"
@@ -181,3 +182,13 @@ def test_pipeline(spark):
     assert {r["doc_id"] for r in seen["best_fit_packing"]} == clean
     whole = Counter(tuple(r)[:5] for r in corpus_pipeline.run(spark, SF).collect())
     assert whole == Counter(tuple(r)[:5] for r in seen["best_fit_packing"])
+
+
+def test_stages_hand_texts_to_python_in_small_batches(spark, docs_of):
+    """Batches of 10,000 texts, one on each side of every task, made executors grow from stage to stage."""
+    sizes = lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches)
+    with settings(spark, {"spark.sql.execution.arrow.maxBytesPerBatch": "64m"}):
+        docs = docs_of([(k, f"{k:07d} " * 10_000) for k in range(100)])
+        corpus_pipeline.best_fit_packing(spark, docs, SF)
+        taken = docs.coalesce(1).select("text").mapInArrow(sizes, "n long").collect()
+    assert sum(r["n"] for r in taken) >= 8_000_000 and max(r["n"] for r in taken) < 4_000_000
